@@ -1,0 +1,29 @@
+"""Lists per key, without ever building an unbounded one."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+PAGE_SIZE = 10_000
+
+
+def paged_lists(rows: DataFrame, keys: list[str], number: Column, item: Column, column: str,
+                page_size: int = PAGE_SIZE, order: Column | None = None) -> DataFrame:
+    """List of ``item`` per key, sorted by ``order`` or else the integer ``number``.
+
+    A key with at most ``page_size`` rows gives one row, with page 0.  A key with
+    more is continued over several pages, each holding one stretch of
+    ``page_size`` numbers, so no row and no group grows with the key while the
+    lists stay whole.  Nulls among the keys group together.
+    """
+    key = F.struct(*[F.col(k) for k in keys])
+    order = number if order is None else order
+    keyed = rows.select(key.alias("_key"), number.alias("_number"), order.alias("_order"), item.alias("_item"))
+    large = keyed.groupBy("_key").agg(F.count("*").alias("_rows")).where(F.col("_rows") > page_size)
+    paged = keyed.join(large, "_key", "left").withColumn(
+        "page", F.when(F.col("_rows").isNotNull(), F.floor(F.col("_number") / page_size)).otherwise(0).cast("bigint"))
+    lists = paged.groupBy("_key", "page").agg(
+        F.sort_array(F.collect_list(F.struct("_order", "_item"))).alias("_sorted"))
+    return lists.select(
+        *[F.col(f"_key.{k}").alias(k) for k in keys], "page",
+        F.col("_sorted._item").alias(column))

@@ -1,0 +1,5 @@
+"""Intentionally empty.
+
+Every run of the engine compares a full snapshot with the stored state, so no
+operator consumes a stream and none is built.
+"""
