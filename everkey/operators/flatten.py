@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.keys import key_part
 from ..functions.text import canon_text, date_part
 from ..schemas import ENTITY_FIELDS, STAT_FIELDS, THRESHOLDS, VARIANT_FIELDS
+from ..session import written
 
 
 class FatalInput(ValueError):
@@ -105,8 +106,10 @@ def refuse(rows: DataFrame, problem: str) -> None:
 
 
 def checked_snapshot(payload: DataFrame) -> tuple[DataFrame, DataFrame]:
-    entities, variants = flatten_entities(payload), flatten_variants(payload)
+    """The flat snapshot, cleaned once and written, or an error."""
     refuse(missing_parts(payload), "payload entry without a required part")
+    entities = written(flatten_entities(payload), "snapshot-entities")
+    variants = written(flatten_variants(payload), "snapshot-variants")
     refuse(duplicate_names(entities), "entity name occurs more than once")
     refuse(duplicate_keys(variants), "variant key occurs more than once")
     return entities, variants
