@@ -1,2 +1,140 @@
+"""Published tables and digests."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import digest, marts as m
+from ..plans import workload as w
+from ..plans.oracle import state_sql
+from ..schemas import ENTITY_FIELDS, SCHEMA_VERSION, STATE_VARIANTS, VARIANT_FIELDS
+from ..sources.published import normal_entities, normal_key_history, normal_variants
 from . import Catalog
+
 catalog = Catalog()
+add = catalog.add
+
+# Variants in pages of at most 10,000 per entity, as one SQL table.
+PAGED = """(SELECT *, CASE WHEN count(*) OVER (PARTITION BY entity_id) > 10000 THEN variant_id // 10000 ELSE 0 END AS page
+  FROM r_variants)"""
+LISTS = f"""SELECT entity_id, page, string_agg(printf('P%06d', variant_id), ',' ORDER BY variant_id) AS printing_ids
+  FROM {PAGED} GROUP BY entity_id, page"""
+SETS = """SELECT entity_id, string_agg(set_number, ',' ORDER BY set_number) AS set_numbers
+  FROM (SELECT DISTINCT entity_id, set_number FROM r_variants WHERE set_number IS NOT NULL) GROUP BY entity_id"""
+VARIANTS = f"""SELECT printf('P%06d', variant_id) AS printing_id, printf('C%06d', entity_id) AS codex_id, e.name AS card_name,
+  {', '.join('v.' + f for f in VARIANT_FIELDS)}, v.retired_at FROM r_variants v JOIN r_entities e USING (entity_id)"""
+ENTITIES = f"""SELECT printf('C%06d', e.entity_id) AS codex_id, coalesce(l.page, 0) AS page, {', '.join('e.' + f for f in ENTITY_FIELDS)},
+  starts_with(rules_text, 'UPDATED') AS errata, coalesce(s.set_numbers, '') AS set_numbers, coalesce(l.printing_ids, '') AS printing_ids
+FROM r_entities e LEFT JOIN ({LISTS}) l USING (entity_id) LEFT JOIN ({SETS}) s ON s.entity_id = e.entity_id AND coalesce(l.page, 0) = 0"""
+
+
+@add("variants_named", state_sql(VARIANTS))
+def variants_named(spark, sf_dir):
+    state = w.state(spark, sf_dir)
+    return m.published_variants(state.entities, state.variants)
+
+
+@add("variants_per_entity", state_sql(f"SELECT printf('C%06d', entity_id) AS codex_id, page, printing_ids FROM ({LISTS})"))
+def variants_per_entity(spark, sf_dir):
+    return m.variants_per_entity(w.state(spark, sf_dir).variants).withColumn("printing_ids", F.array_join("printing_ids", ","))
+
+
+@add("sets_per_entity", state_sql(f"SELECT printf('C%06d', entity_id) AS codex_id, 0::BIGINT AS page, set_numbers FROM ({SETS})"))
+def sets_per_entity(spark, sf_dir):
+    return m.sets_per_entity(w.state(spark, sf_dir).variants).withColumn("set_numbers", F.array_join("set_numbers", ","))
+
+
+@add("published_entities", state_sql(ENTITIES))
+def published_entities(spark, sf_dir):
+    state = w.state(spark, sf_dir)
+    lists = {c: F.array_join(c, ",") for c in ("set_numbers", "printing_ids")}
+    return m.published_entities(state.entities, state.variants).withColumns(lists)
+
+
+# Set 013 has lost its number here, so null is a set of its own.
+UNNUMBERED = "(SELECT * REPLACE (CASE WHEN set_number <> '013' THEN set_number END AS set_number) FROM r_variants)"
+CATALOGUE = f"""SELECT set_number, min_by(set_name, variant_id) AS set_name, min_by(released_at, variant_id) AS released_at,
+  count(DISTINCT entity_id) AS cards, count(*) AS printings FROM {UNNUMBERED} GROUP BY set_number"""
+
+
+def _unnumbered(spark, sf_dir):
+    return w.state(spark, sf_dir).variants.withColumn("set_number", F.when(F.col("set_number") != "013", F.col("set_number")))
+
+
+@add("set_catalogue", state_sql(CATALOGUE))
+def set_catalogue(spark, sf_dir):
+    return m.in_catalogue_order(m.set_catalogue(_unnumbered(spark, sf_dir)))
+
+
+@add("set_stats", state_sql(CATALOGUE))
+def set_stats(spark, sf_dir):
+    return m.in_release_order(m.set_catalogue(_unnumbered(spark, sf_dir)))
+
+
+@add("product_counts", state_sql("SELECT product, count(*) AS printings FROM r_variants GROUP BY product"))
+def product_counts(spark, sf_dir):
+    return m.product_counts(w.state(spark, sf_dir).variants)
+
+
+COUNTS = """(SELECT count(*) FROM (SELECT DISTINCT set_number FROM r_variants)) AS sets, (SELECT count(*) FROM r_entities) AS cards,
+  (SELECT count(*) FROM r_variants) AS printings, (SELECT count(*) FROM key_history) AS slug_history,
+  (SELECT count(*) FROM name_history) AS name_history"""
+
+
+@add("header_counts", state_sql(f"SELECT {SCHEMA_VERSION} AS schema_version, 'test tables' AS source, {COUNTS}"))
+def header_counts(spark, sf_dir):
+    return m.header(w.state(spark, sf_dir), "test tables")
+
+
+@add("published_key_history", state_sql("SELECT slug, printf('P%06d', variant_id) AS printing_id, valid_from, valid_to FROM key_history"))
+def published_key_history(spark, sf_dir):
+    return m.published_key_history(w.state(spark, sf_dir).key_history)
+
+
+@add("published_name_history", state_sql("SELECT name, printf('C%06d', entity_id) AS codex_id, valid_from, valid_to FROM name_history"))
+def published_name_history(spark, sf_dir):
+    return m.published_name_history(w.state(spark, sf_dir).name_history)
+
+
+@add("normalise_old_export", state_sql("""SELECT printf('P%06d', variant_id) AS printing_id, printf('C%06d', entity_id) AS codex_id,
+  slug, product, split_part(slug, '-', 1) AS set_number, e.name AS card_name, starts_with(e.rules_text, 'UPDATED') AS errata,
+  'old-' || slug AS former FROM r_variants v JOIN r_entities e USING (entity_id)"""))
+def normalise_old_export(spark, sf_dir):
+    """The published tables as they once were: plain numbers, fewer columns."""
+    state = w.state(spark, sf_dir)
+    old_entities = state.entities.select(F.col("entity_id").alias("card_id"), "name", "rules_text")
+    old_variants = state.variants.select(
+        F.col("variant_id").alias("printing_id"), F.col("entity_id").alias("card_id"), "slug", "product",
+        F.lit(7).alias("card_number"), F.lower("set_name").alias("set_code"))
+    old_history = state.variants.select(
+        F.concat(F.lit("old-"), F.col("slug")).alias("former"), F.col("variant_id").cast("string").alias("printing_id"))
+    entities = normal_entities(old_entities)
+    variants = normal_variants(old_variants, entities)
+    return variants.join(entities.select("codex_id", "errata"), "codex_id").join(normal_key_history(old_history), "printing_id")
+
+
+def _digest_sql(section: str, source: str, columns: list[str]) -> str:
+    def encoded(column: str) -> str:
+        return f"coalesce(length({column}::VARCHAR)::VARCHAR || ':' || {column}::VARCHAR, '-')"
+
+    row = "sha256(" + " || ".join(map(encoded, columns)) + ")"
+    sums = " || ' ' || ".join(
+        f"coalesce(sum(('0x' || substr(h, {1 + 15 * i}, 15))::HUGEINT), 0)::VARCHAR" for i in range(4))
+    return f"""SELECT '{section}' AS section, count(*) AS rows, sha256(count(*)::VARCHAR || ' ' || {sums}) AS digest
+FROM (SELECT {row} AS h FROM {source})"""
+
+
+DIGESTED = {"variants": STATE_VARIANTS.names, "key_history": ["slug", "variant_id", "valid_from", "valid_to"]}
+
+
+@add("table_digest", state_sql(" UNION ALL ".join(
+    _digest_sql(name, {"variants": "r_variants"}.get(name, name), columns) for name, columns in DIGESTED.items())))
+def table_digest(spark, sf_dir):
+    state = w.state(spark, sf_dir)
+    return digest.section_digests({name: getattr(state, name).select(columns) for name, columns in DIGESTED.items()})
+
+
+@add("manifest")
+def manifest(spark, sf_dir):
+    """Digests of the data files themselves; SQL cannot see them."""
+    return digest.manifest(digest.file_digests(spark, sf_dir), "v1", SCHEMA_VERSION)
