@@ -1,2 +1,271 @@
+"""Invariant checks, run on damaged copies so that they find something."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
+
+from ..operators import checks as k, marts
+from ..operators.apply import ENTITY_COUNTER, VARIANT_COUNTER
+from ..plans import workload as w
+from ..plans.oracle import inputs, with_ctes
+from ..schemas import ENTITY_FIELDS, SCHEMA_VERSION, VARIANT_FIELDS
+from .marts import LISTS, SETS, VARIANTS
 from . import Catalog
+
 catalog = Catalog()
+add = catalog.add
+
+VARIANT_ROW = ", ".join(["variant_id", "entity_id", *VARIANT_FIELDS, "retired_at"])
+
+
+def damaged_ctes() -> dict[str, str]:
+    """State x_* is the damaged copy of state r_*."""
+    changed = VARIANT_ROW.replace("entity_id", "entity_id + CASE WHEN variant_id % 1000 = 11 THEN 1 ELSE 0 END AS entity_id", 1) \
+        .replace("slug", "CASE WHEN variant_id % 1000 IN (13, 23) THEN 'broken-' || slug ELSE slug END AS slug", 1)
+    return inputs(w.SCENARIOS["clean"]) | {
+        "r_counters": f"""SELECT 'schema_version' AS name, {SCHEMA_VERSION}::BIGINT AS value
+  UNION ALL SELECT '{ENTITY_COUNTER}', (SELECT max(p_partkey) + 2 FROM part)
+  UNION ALL SELECT '{VARIANT_COUNTER}', (SELECT count(*) + 1 FROM r_variants)""",
+        "x_entities": "SELECT * FROM r_entities WHERE entity_id % 90 <> 8",
+        "x_kept": f"SELECT {changed} FROM r_variants WHERE variant_id % 1000 <> 7",
+        "x_variants": "SELECT * FROM x_kept UNION ALL SELECT * FROM x_kept WHERE variant_id % 1000 = 17",
+        "x_key_history": f"""SELECT * FROM key_history WHERE NOT (valid_to IS NULL AND variant_id % 500 = 3) AND variant_id % 1000 <> 23
+  UNION ALL SELECT 'extra-' || slug, variant_id, valid_from, NULL FROM key_history WHERE valid_to IS NULL AND variant_id % 500 = 4
+  UNION ALL SELECT slug, variant_id + 1, '{w.CLOSED_FROM}', '{w.OPEN_FROM}' FROM key_history WHERE valid_to IS NULL AND variant_id % 500 = 5""",
+        "x_name_history": "SELECT * FROM name_history WHERE NOT (valid_to IS NULL AND entity_id % 100 = 3)",
+        "x_counters": f"""SELECT name, CASE name WHEN '{VARIANT_COUNTER}' THEN 1 WHEN 'schema_version' THEN 5 ELSE value END AS value
+  FROM r_counters""",
+    }
+
+
+def broken(check: str, key: str, detail: str, rest: str) -> str:
+    return f"SELECT '{check}' AS \"check\", ({key})::VARCHAR AS \"key\", {detail} AS detail {rest}"
+
+
+def sql(*parts: str) -> str:
+    return with_ctes(damaged_ctes(), "\nUNION ALL ".join(parts))
+
+
+def open_rows(check: str, table: str, history: str, number: str, key: str) -> str:
+    rows = f"(SELECT {number}, count(*) AS n, min({key}) AS open_key FROM {history} WHERE valid_to IS NULL GROUP BY {number})"
+    return broken(check, f"t.{number}", f"CASE WHEN coalesce(n, 0) <> 1 THEN coalesce(n, 0) || ' open rows' ELSE 'open row says ' || open_key END",
+                  f"FROM {table} t LEFT JOIN {rows} h USING ({number}) WHERE coalesce(n, 0) <> 1 OR open_key IS DISTINCT FROM t.{key}")
+
+
+VERSION = broken("schema_version", "value", "'expected 6'", "FROM x_counters WHERE name = 'schema_version' AND value <> 6")
+FOREIGN = [
+    broken("foreign_key", "variant_id", "'variant of entity ' || entity_id",
+           "FROM x_variants WHERE entity_id NOT IN (SELECT entity_id FROM x_entities)"),
+    broken("foreign_key", "slug", "'key history of variant ' || variant_id",
+           "FROM x_key_history WHERE variant_id NOT IN (SELECT variant_id FROM x_variants)"),
+    broken("foreign_key", "name", "'name history of entity ' || entity_id",
+           "FROM x_name_history WHERE entity_id NOT IN (SELECT entity_id FROM x_entities)"),
+]
+COUNTERS = [broken("counter", f"'{name}'", "'highest id ' || top || ' next ' || next",
+                   f"""FROM (SELECT (SELECT max({column}) FROM {table}) AS top,
+  (SELECT value FROM x_counters WHERE name = '{name}') AS next) WHERE top >= next""")
+            for table, column, name in (("x_entities", "entity_id", ENTITY_COUNTER), ("x_variants", "variant_id", VARIANT_COUNTER))]
+OPEN_KEYS = open_rows("open_key", "x_variants", "x_key_history", "variant_id", "slug")
+OPEN_NAMES = open_rows("open_name", "x_entities", "x_name_history", "entity_id", "name")
+OWNERSHIP = broken("key_ownership", "slug", "n || ' variants, from ' || low || ' to ' || high",
+                   """FROM (SELECT slug, count(DISTINCT variant_id) AS n, min(variant_id) AS low, max(variant_id) AS high
+  FROM (SELECT slug, variant_id FROM x_key_history UNION ALL SELECT slug, variant_id FROM x_variants) GROUP BY slug) WHERE n > 1""")
+
+
+@add("check_schema_version", sql(VERSION))
+def check_schema_version(spark, sf_dir):
+    return k.check_schema_version(w.damaged_state(spark, sf_dir).counters)
+
+
+@add("check_foreign_keys", sql(*FOREIGN))
+def check_foreign_keys(spark, sf_dir):
+    return k.check_foreign_keys(w.damaged_state(spark, sf_dir))
+
+
+@add("check_counters", sql(*COUNTERS))
+def check_counters(spark, sf_dir):
+    return k.check_counters(w.damaged_state(spark, sf_dir))
+
+
+@add("check_open_keys", sql(OPEN_KEYS))
+def check_open_keys(spark, sf_dir):
+    state = w.damaged_state(spark, sf_dir)
+    return k.check_open_keys(state.variants, state.key_history)
+
+
+@add("check_open_names", sql(OPEN_NAMES))
+def check_open_names(spark, sf_dir):
+    state = w.damaged_state(spark, sf_dir)
+    return k.check_open_names(state.entities, state.name_history)
+
+
+@add("check_key_ownership", sql(OWNERSHIP))
+def check_key_ownership(spark, sf_dir):
+    state = w.damaged_state(spark, sf_dir)
+    return k.check_key_ownership(state.key_history, state.variants)
+
+
+# -- published tables ---------------------------------------------------------------------
+
+def damaged_published(spark, sf_dir):
+    """Published tables with some rows changed, missing, or against the rules."""
+    state = w.state(spark, sf_dir)
+    good = marts.sections(state, "test tables")
+    number = F.substring("codex_id", 2, 20).cast("bigint")
+    cards = good["cards"] \
+        .withColumn("errata", F.when(number % 60 == 1, ~F.col("errata")).otherwise(F.col("errata"))) \
+        .withColumn("printing_ids", F.when(number % 60 == 2, F.reverse("printing_ids"))
+                    .when(number % 60 == 3, F.slice("printing_ids", 2, 1_000_000)).otherwise(F.col("printing_ids"))) \
+        .withColumn("set_numbers", F.when(number % 60 == 4, F.array(F.lit("7"))).otherwise(F.col("set_numbers"))) \
+        .withColumn("thr_water", F.when(number % 60 == 5, F.lit(-1)).otherwise(F.col("thr_water")))
+    own = F.substring("printing_id", 2, 20).cast("bigint")
+    printings = good["printings"].where(own % 900 != 6) \
+        .withColumn("released_at", F.when(own % 900 == 7, F.lit("May 2023")).otherwise(F.col("released_at"))) \
+        .withColumn("card_name", F.when(own % 900 != 8, F.col("card_name")))
+    return good | {"cards": cards, "printings": printings}
+
+
+def published_ctes() -> dict[str, str]:
+    lists = {"set_numbers": "s.set_numbers", "printing_ids": "l.printing_ids"}
+    return damaged_ctes() | {
+        "g_cards": f"""SELECT e.entity_id, printf('C%06d', e.entity_id) AS codex_id, coalesce(l.page, 0) AS page,
+  {', '.join('e.' + f for f in ENTITY_FIELDS)}, starts_with(rules_text, 'UPDATED') AS errata,
+  {', '.join(f"CASE WHEN {c} IS NULL THEN [] ELSE string_split({c}, ',') END AS {name}" for name, c in lists.items())}
+FROM r_entities e LEFT JOIN ({LISTS}) l USING (entity_id) LEFT JOIN ({SETS}) s ON s.entity_id = e.entity_id AND coalesce(l.page, 0) = 0""",
+        "x_cards": """SELECT * REPLACE (CASE WHEN entity_id % 60 = 1 THEN NOT errata ELSE errata END AS errata,
+  CASE WHEN entity_id % 60 = 2 THEN list_reverse(printing_ids) WHEN entity_id % 60 = 3 THEN printing_ids[2:] ELSE printing_ids END AS printing_ids,
+  CASE WHEN entity_id % 60 = 4 THEN ['7'] ELSE set_numbers END AS set_numbers,
+  CASE WHEN entity_id % 60 = 5 THEN -1 ELSE thr_water END AS thr_water) FROM g_cards""",
+        "g_printings": VARIANTS,
+        "x_printings": """SELECT * REPLACE (CASE WHEN n % 900 = 7 THEN 'May 2023' ELSE released_at END AS released_at,
+  CASE WHEN n % 900 <> 8 THEN card_name END AS card_name) FROM (SELECT *, printing_id[2:]::BIGINT AS n FROM g_printings) WHERE n % 900 <> 6""",
+    }
+
+
+def _compared(section: str, key: str, good: str, bad: str) -> list[str]:
+    return [broken(f"published:{section}", key, "'published but not derived'", f"FROM (SELECT {bad} EXCEPT ALL SELECT {good})"),
+            broken(f"published:{section}", key, "'derived but not published'", f"FROM (SELECT {good} EXCEPT ALL SELECT {bad})")]
+
+
+PUBLISHED = [*_compared("cards", "codex_id", "* FROM g_cards", "* FROM x_cards"),
+             *_compared("printings", "printing_id", "* FROM g_printings", "* EXCLUDE (n) FROM x_printings")]
+RULES = [
+    broken("schema:cards", "codex_id", "'set_numbers'", "FROM x_cards WHERE len(list_filter(set_numbers, lambda s: NOT regexp_full_match(s, '[0-9]{3}'))) > 0"),
+    broken("schema:cards", "codex_id", "'thr_water'", "FROM x_cards WHERE thr_water < 0"),
+    broken("schema:printings", "printing_id", "'released_at'", "FROM x_printings WHERE NOT regexp_full_match(released_at, '[0-9]{4}-[0-9]{2}-[0-9]{2}')"),
+    broken("schema:printings", "printing_id", "'card_name'", "FROM x_printings WHERE card_name IS NULL"),
+]
+LINKS = [
+    broken("link", "codex_id", "'lists ' || p", """FROM (SELECT codex_id, unnest(printing_ids) AS p FROM x_cards) l
+  WHERE NOT EXISTS (SELECT 1 FROM x_printings x WHERE x.codex_id = l.codex_id AND x.printing_id = l.p)"""),
+    broken("link", "codex_id", "'does not list ' || printing_id", """FROM x_printings x WHERE NOT EXISTS
+  (SELECT 1 FROM (SELECT codex_id, unnest(printing_ids) AS p FROM x_cards) l WHERE x.codex_id = l.codex_id AND x.printing_id = l.p)"""),
+    broken("link", "codex_id", "'list out of order'", "FROM x_cards WHERE printing_ids <> list_sort(printing_ids)"),
+]
+
+
+def published_sql(*parts: str) -> str:
+    return with_ctes(published_ctes(), "\nUNION ALL ".join(parts))
+
+
+@add("check_published", published_sql(*PUBLISHED))
+def check_published(spark, sf_dir):
+    good, bad = marts.sections(w.state(spark, sf_dir), "test tables"), damaged_published(spark, sf_dir)
+    return k.check_published(bad["cards"], good["cards"], "codex_id", "cards").unionByName(
+        k.check_published(bad["printings"], good["printings"], "printing_id", "printings"))
+
+
+@add("check_schema", published_sql(*RULES))
+def check_schema(spark, sf_dir):
+    return k.check_schema(damaged_published(spark, sf_dir))
+
+
+@add("check_links", published_sql(*LINKS))
+def check_links(spark, sf_dir):
+    bad = damaged_published(spark, sf_dir)
+    return k.check_links(bad["cards"], bad["printings"])
+
+
+# -- version against version ----------------------------------------------------------------
+
+LOST = [
+    broken("lost_entity", "entity_id", "name", "FROM r_entities WHERE entity_id NOT IN (SELECT entity_id FROM x_entities)"),
+    broken("lost_variant", "variant_id", "slug", "FROM r_variants WHERE variant_id NOT IN (SELECT variant_id FROM x_variants)"),
+]
+# A published entity that is still there but no longer lists a variant.
+LOST_LINKS = broken("lost_link", "r.entity_id", "'variant ' || r.variant_id", """FROM r_variants r
+  WHERE r.entity_id IN (SELECT entity_id FROM x_entities)
+    AND NOT EXISTS (SELECT 1 FROM x_variants x WHERE x.variant_id = r.variant_id AND x.entity_id = r.entity_id)""")
+MOVED = broken("moved_variant", "r.variant_id", "r.entity_id || ' -> ' || x.entity_id",
+               "FROM r_variants r JOIN x_variants x USING (variant_id) WHERE r.entity_id <> x.entity_id")
+UNEXPLAINED = broken("unexplained_key", "r.variant_id", "r.slug || ' -> ' || x.slug",
+                     """FROM r_variants r JOIN x_variants x USING (variant_id) WHERE r.slug <> x.slug
+  AND NOT EXISTS (SELECT 1 FROM x_key_history h WHERE h.variant_id = r.variant_id AND h.slug = r.slug)""")
+COUNTS = [broken("count_fell", f"'{name}'", "was || ' -> ' || now",
+                 f"FROM (SELECT (SELECT count(*) FROM {was}) AS was, (SELECT count(*) FROM {now}) AS now) WHERE now < was")
+          for name, was, now in (("entities", "r_entities", "x_entities"), ("variants", "r_variants", "x_variants"),
+                                 ("key_history", "key_history", "x_key_history"), ("name_history", "name_history", "x_name_history"))
+          ] + [broken("count_fell", "name", "r.value || ' -> ' || x.value", "FROM r_counters r JOIN x_counters x USING (name) WHERE x.value < r.value")]
+
+
+def _repeated(check: str, table: str, *columns: str) -> str:
+    return broken(check, " || ' ' || ".join(columns), "count(*) || ' copies'", f"FROM {table} GROUP BY {', '.join(columns)} HAVING count(*) > 1")
+
+
+WRITE = [
+    _repeated("duplicate_entity_id", "x_entities", "entity_id"), _repeated("duplicate_name", "x_entities", "name"),
+    _repeated("duplicate_variant_id", "x_variants", "variant_id"), _repeated("duplicate_key", "x_variants", "slug"),
+    _repeated("repeated_key_history", "x_key_history", "variant_id", "slug", "valid_from"),
+    _repeated("repeated_name_history", "x_name_history", "entity_id", "name", "valid_from"),
+    broken("stolen_key", "slug", "owner || ' -> ' || variant_id", """FROM (SELECT DISTINCT c.slug, c.variant_id, h.variant_id AS owner
+  FROM (SELECT slug, variant_id FROM x_key_history UNION SELECT slug, variant_id FROM x_variants) c
+  JOIN key_history h USING (slug) WHERE h.variant_id <> c.variant_id)"""),
+]
+
+
+def _pair(spark, sf_dir):
+    return w.state(spark, sf_dir), w.damaged_state(spark, sf_dir)
+
+
+@add("check_lost_ids", sql(*LOST))
+def check_lost_ids(spark, sf_dir):
+    pair = _pair(spark, sf_dir)
+    return k.check_lost_entities(*pair).unionByName(k.check_lost_variants(*pair))
+
+
+@add("check_lost_links", sql(LOST_LINKS))
+def check_lost_links(spark, sf_dir):
+    old, new = (marts.published_entities(s.entities, s.variants) for s in _pair(spark, sf_dir))
+    return k.check_lost_links(old, new)
+
+
+@add("check_moved", sql(MOVED))
+def check_moved(spark, sf_dir):
+    return k.check_moved(*_pair(spark, sf_dir))
+
+
+@add("check_unexplained_key_change", sql(UNEXPLAINED))
+def check_unexplained_key_change(spark, sf_dir):
+    return k.check_unexplained_key_change(*_pair(spark, sf_dir))
+
+
+@add("check_counts", sql(*COUNTS))
+def check_counts(spark, sf_dir):
+    return k.check_counts(*_pair(spark, sf_dir))
+
+
+@add("check_write_rules", sql(*WRITE))
+def check_write_rules(spark, sf_dir):
+    return k.check_write_rules(*_pair(spark, sf_dir))
+
+
+@add("violations", with_ctes(published_ctes(), "SELECT \"check\", count(*) AS violations FROM (\n" + "\nUNION ALL ".join(
+    [VERSION, *FOREIGN, *COUNTERS, OPEN_KEYS, OPEN_NAMES, OWNERSHIP, *PUBLISHED, *RULES, *LINKS,
+     *LOST, LOST_LINKS, MOVED, UNEXPLAINED, *COUNTS, *WRITE]) + ") GROUP BY \"check\""))
+def violations(spark, sf_dir):
+    """All checks together, counted per check."""
+    old, new = _pair(spark, sf_dir)
+    found = [k.state_violations(new), k.published_violations(damaged_published(spark, sf_dir), old), k.version_violations(old, new)]
+    return reduce(DataFrame.unionByName, found).groupBy("check").agg(F.count("*").alias("violations"))

@@ -333,3 +333,67 @@ def payload(spark: SparkSession, sf_dir: str, repeats: bool = False) -> DataFram
         F.when(F.col("c") % 5 == 0, "Air, Fire ").alias("elements"), F.lit(None).cast("string").alias("subTypes"),
         F.transform(numbers, one_set).alias("sets"),
     )
+
+
+# -- corrections and damage -----------------------------------------------------------
+
+def corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corrections of every kind, for some of the parts each.
+
+    ``ord`` is the position in the list; match keys carry stray blanks, as data
+    entered by hand does.
+    """
+    part = table(spark, sf_dir, "part")
+    name, number = _entity_columns(False)["name"], F.col("p_partkey") + 1
+
+    def rows(step: int, remainder: int, place: int, field: str, value: Column, set_name: str | None = None,
+             named: Column = name) -> DataFrame:
+        return part.where((F.col("p_partkey") + 1) % step == remainder).select(
+            (number * 10 + place).alias("ord"), F.concat(named, F.lit(" ")).alias("name"),
+            F.lit(set_name).cast("string").alias("set_name"), F.lit(field).alias("field"),
+            value.cast("string").alias("value"), F.lit("checked by hand").alias("reason"))
+
+    nothing = F.lit(None)
+    parts = [
+        rows(50, 1, 1, "attack", nothing),                                  # null is a value
+        rows(50, 2, 1, "rarity", F.lit("Corrected"), "NATION_3\t"),         # one set only
+        rows(50, 3, 1, "cost", F.lit(98)),                                  # two on one field: the later wins
+        rows(50, 3, 2, "cost", F.lit(99)),
+        rows(50, 4, 2, "artist", F.lit("Narrow"), "NATION_5"),              # narrow first, wide later
+        rows(50, 4, 3, "artist", F.lit("Wide")),
+        rows(50, 5, 4, "artist", F.lit("Wide")),                            # wide first, narrow later
+        rows(50, 5, 5, "artist", F.lit("Narrow"), "NATION_5"),
+        rows(50, 6, 1, "rules_text", F.lit("nobody"), None, F.concat(F.lit("ghost "), name)),
+        rows(50, 7, 1, "rules_text", F.lit("nowhere"), "NATION_99"),
+    ]
+    result = parts[0]
+    for more in parts[1:]:
+        result = result.unionByName(more)
+    return result
+
+
+def damaged(before: State) -> State:
+    """A state with every kind of damage, spread over its rows by modulus."""
+    entities, variants = before.entities, before.variants
+    number = F.col("variant_id")
+    lost = variants.where("variant_id % 1000 != 7") \
+        .withColumn("entity_id", F.col("entity_id") + F.when(number % 1000 == 11, 1).otherwise(0)) \
+        .withColumn("slug", F.when((number % 1000).isin(13, 23), F.concat(F.lit("broken-"), F.col("slug"))).otherwise(F.col("slug")))
+    twice = lost.unionByName(lost.where("variant_id % 1000 = 17"))
+    history = before.key_history
+    is_open = F.col("valid_to").isNull()
+    kept = history.where(~(is_open & (number % 500 == 3)) & (number % 1000 != 23))
+    more = history.where(is_open & (number % 500 == 4)).withColumn("slug", F.concat(F.lit("extra-"), F.col("slug")))
+    stolen = history.where(is_open & (number % 500 == 5)).withColumn("variant_id", number + 1) \
+        .withColumn("valid_from", F.lit(CLOSED_FROM)).withColumn("valid_to", F.lit(OPEN_FROM))
+    names = before.name_history.where(~(is_open & (F.col("entity_id") % 100 == 3)))
+    counted = before.counters.withColumn(
+        "value", F.when(F.col("name") == VARIANT_COUNTER, 1).when(F.col("name") == VERSION_ROW, 5).otherwise(F.col("value")))
+    return State(
+        entities=entities.where("entity_id % 90 != 8"), variants=twice,
+        key_history=kept.unionByName(more).unionByName(stolen), name_history=names, counters=counted)
+
+
+def damaged_state(spark: SparkSession, sf_dir: str) -> State:
+    return once(spark, sf_dir, ("damaged",), lambda: State(**{
+        name: written(df, f"damaged-{name}") for name, df in damaged(state(spark, sf_dir)).tables().items()}))
