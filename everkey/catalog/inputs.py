@@ -10,6 +10,7 @@ from ..operators import corrections as c, flatten
 from ..plans import workload as w
 from ..plans.oracle import changes_sql, plan_sql, state_sql, with_ctes
 from ..schemas import ENTITY_COMPARED, ENTITY_FIELDS, FINGERPRINT_FIELDS
+from ..session import spread
 from . import Catalog
 
 catalog = Catalog()
@@ -56,7 +57,8 @@ def _dirty(column):
     "dirty": f"SELECT doc_id, {DIRTY} AS raw FROM spaced",
 }, f"SELECT doc_id, {canon_sql('raw')} AS text FROM dirty"))
 def canon_text(spark, sf_dir):
-    dirty = w.table(spark, sf_dir, "documents").select("doc_id", _dirty(F.col("text")).alias("raw"))
+    documents = spread(w.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    dirty = documents.select("doc_id", _dirty(F.col("text")).alias("raw"))
     return dirty.select("doc_id", text.canon_text(F.col("raw")).alias("text"))
 
 

@@ -39,12 +39,12 @@ RENAMES = "SELECT entity_id, old_name, new_name, decided_by FROM e_renames"
 
 @add("plan_entity_renames", plan_sql("clean", RENAMES))
 def plan_entity_renames(spark, sf_dir):
-    return ed.entity_renames(w.plan(spark, sf_dir)[0])
+    return ed.entity_renames(w.entity_plan(spark, sf_dir))
 
 
 @add("plan_entity_renames_decided", plan_sql("decided", RENAMES))
 def plan_entity_renames_decided(spark, sf_dir):
-    return ed.entity_renames(w.plan(spark, sf_dir, "decided")[0])
+    return ed.entity_renames(w.entity_plan(spark, sf_dir, "decided"))
 
 
 CASES = """SELECT case_id, 'entity' AS kind,
@@ -56,12 +56,12 @@ FROM e_members GROUP BY case_id"""
 
 @add("plan_entity_cases", plan_sql("coarse", CASES))
 def plan_entity_cases(spark, sf_dir):
-    return ed.entity_cases(w.plan(spark, sf_dir, "coarse")[0])
+    return ed.entity_cases(w.entity_plan(spark, sf_dir, "coarse"))
 
 
 @add("plan_entity_fail_closed", plan_sql("failclosed", CASES))
 def plan_entity_fail_closed(spark, sf_dir):
-    return ed.entity_cases(w.plan(spark, sf_dir, "failclosed")[0])
+    return ed.entity_cases(w.entity_plan(spark, sf_dir, "failclosed"))
 
 
 def _members(scenario):
@@ -73,7 +73,7 @@ FROM e_members JOIN ({both}) b USING (side, name)""")
 
 @add("entity_case_members", _members("failclosed"))
 def entity_case_members(spark, sf_dir):
-    members = ed.entity_case_members(w.plan(spark, sf_dir, "failclosed")[0])
+    members = ed.entity_case_members(w.entity_plan(spark, sf_dir, "failclosed"))
     thresholds = [F.col(f"summary.thresholds.{e}").alias(f"thr_{e}") for e in ("air", "earth", "fire", "water")]
     plain = ["name", "rules_text", "type", "cost", "attack", "defence", "life"]
     return members.select("case_id", "side", "entity_id", *[f"summary.{f}" for f in plain], *thresholds)
@@ -81,7 +81,7 @@ def entity_case_members(spark, sf_dir):
 
 @add("cased_names", plan_sql("coarse", "SELECT name FROM e_cased"))
 def cased_names(spark, sf_dir):
-    return ed.cased_names(w.plan(spark, sf_dir, "coarse")[0])
+    return ed.cased_names(w.entity_plan(spark, sf_dir, "coarse"))
 
 
 NEW = f"SELECT entity_pos, {', '.join(ENTITY_FIELDS)} FROM s_entities WHERE name IN (SELECT name FROM e_new)"
@@ -89,12 +89,12 @@ NEW = f"SELECT entity_pos, {', '.join(ENTITY_FIELDS)} FROM s_entities WHERE name
 
 @add("plan_new_entities", plan_sql("clean", NEW))
 def plan_new_entities(spark, sf_dir):
-    return ed.new_entities(w.plan(spark, sf_dir)[0])
+    return ed.new_entities(w.entity_plan(spark, sf_dir))
 
 
 @add("plan_new_entities_decided", plan_sql("decided", NEW))
 def plan_new_entities_decided(spark, sf_dir):
-    return ed.new_entities(w.plan(spark, sf_dir, "decided")[0])
+    return ed.new_entities(w.entity_plan(spark, sf_dir, "decided"))
 
 
 @add("plan_gone_entities", plan_sql("clean", """SELECT entity_id, name FROM e_left WHERE side = 'missing'
@@ -108,7 +108,7 @@ def plan_gone_entities(spark, sf_dir):
 
 @add("plan_entity_updates", plan_sql("clean", "SELECT entity_id, name, field, old, new FROM e_updates"))
 def plan_entity_updates(spark, sf_dir):
-    return _exploded(ed.entity_updates(w.plan(spark, sf_dir)[0]), "entity_id", "name")
+    return _exploded(ed.entity_updates(w.entity_plan(spark, sf_dir)), "entity_id", "name")
 
 
 @add("pair_one_to_one", """WITH sides AS (SELECT CASE WHEN doc_id % 2 = 0 THEN 'missing' ELSE 'added' END AS side, doc_id, text FROM documents),

@@ -2,34 +2,39 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, functions as F
 
-# Code points below U+0300 are unchanged by NFC, so only text with something
-# beyond them has to leave the JVM.
-_NEEDS_NFC = r"[^\x{0}-\x{2FF}]"
+# Code points below U+0300 are unchanged by NFC.
+_BEYOND_LATIN = r"[^\x{0}-\x{2FF}]"
 
-# Python's idea of white space: Unicode spaces plus the four separators.
+# White space is what Unicode says, and the four separators.
 _SPACE = r"\s\x1c-\x1f"
+_BLANK = rf"[{_SPACE}&&[^\n]]"
 
-ERRATA_PREFIX = "UPDATED"
-
+# Found in any text that is not clean yet.
+_UNCLEAN = rf"(?U)\r|[{_SPACE}](?=\n|\z)|\A[{_SPACE}]"
 
-@F.pandas_udf(T.StringType())
-def _compose(text: pd.Series) -> pd.Series:
-    return text.str.normalize("NFC")
+ERRATA_PREFIX = "UPDATED"
 
 
 def nfc(text: Column) -> Column:
-    return F.coalesce(_compose(F.when(text.rlike(_NEEDS_NFC), text)), text)
+    """Unicode NFC by the ICU library Spark brings along, so no row leaves the JVM."""
+    composed = F.java_method(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), text, F.lit(False))
+    return F.when(text.rlike(_BEYOND_LATIN), composed).otherwise(text)
 
 
 def canon_text(text: Column) -> Column:
-    """NFC, ``\\n`` line ends, no trailing blanks, no blank lines; null stays null."""
-    text = F.regexp_replace(nfc(text), r"\r\n?", "\n")
-    text = F.regexp_replace(text, rf"(?U)[{_SPACE}&&[^\n]]+(?=\n|\z)", "")
-    text = F.regexp_replace(text, rf"(?U)\A[{_SPACE}]+|[{_SPACE}]+\z", "")
-    return F.regexp_replace(text, r"\n+", "\n")
+    """NFC, ``\\n`` line ends, no trailing blanks, no blank lines; null stays null.
+
+    Most text is clean, and one look tells.  The look-behinds keep long runs of
+    blanks linear.
+    """
+    composed = nfc(text)
+    clean = F.regexp_replace(composed, r"\r\n?", "\n")
+    clean = F.regexp_replace(clean, rf"(?U)(?<!{_BLANK}){_BLANK}++(?=\n|\z)", "")
+    clean = F.regexp_replace(clean, rf"(?U)\A[{_SPACE}]++|(?<![{_SPACE}])[{_SPACE}]++\z", "")
+    clean = F.regexp_replace(clean, r"\n+", "\n")
+    return F.when(text.rlike(_UNCLEAN), clean).otherwise(composed)
 
 
 def date_part(stamp: Column) -> Column:

@@ -21,7 +21,7 @@ from ..schemas import (
     ENTITY_FIELDS, INT_FIELDS, KEY_HISTORY, NAME_HISTORY, SCHEMA_VERSION, SNAPSHOT_ENTITIES, SNAPSHOT_VARIANTS,
     STATE_ENTITIES, STATE_VARIANTS,
 )
-from ..session import tune, written
+from ..session import spread, tune, written
 
 CLOSED_FROM, OPEN_FROM, RETIRED_AT, AS_OF = "2024-01-01", "2024-06-01", "2024-09-01", "2025-01-01"
 
@@ -267,14 +267,18 @@ def decisions(spark: SparkSession, sf_dir: str, scenario: str) -> dict[str, Data
 # -- plans and next versions -----------------------------------------------------
 
 def plan(spark: SparkSession, sf_dir: str, scenario: str = "clean") -> tuple[ed.EntityPlan, vd.VariantPlan]:
-    def build() -> tuple[ed.EntityPlan, vd.VariantPlan]:
-        before, (entities, variants) = state(spark, sf_dir, scenario), snapshot(spark, sf_dir, scenario)
-        answers = decisions(spark, sf_dir, scenario)
-        entity_plan = ed.classify_entities(before.entities, entities, answers)
-        return entity_plan, vd.classify_variants(
-            before.entities, before.variants, before.key_history, variants, entity_plan, answers)
+    def build() -> vd.VariantPlan:
+        before, variants = state(spark, sf_dir, scenario), snapshot(spark, sf_dir, scenario)[1]
+        return vd.classify_variants(before.entities, before.variants, before.key_history, variants,
+                                    entities, decisions(spark, sf_dir, scenario))
 
-    return once(spark, sf_dir, ("plan", scenario), build)
+    entities = entity_plan(spark, sf_dir, scenario)
+    return entities, once(spark, sf_dir, ("plan", scenario, "variants"), build)
+
+
+def entity_plan(spark: SparkSession, sf_dir: str, scenario: str = "clean") -> ed.EntityPlan:
+    return once(spark, sf_dir, ("plan", scenario, "entities"), lambda: ed.classify_entities(
+        state(spark, sf_dir, scenario).entities, snapshot(spark, sf_dir, scenario)[0], decisions(spark, sf_dir, scenario)))
 
 
 def after(spark: SparkSession, sf_dir: str, scenario: str = "clean") -> State:
@@ -289,13 +293,19 @@ def after(spark: SparkSession, sf_dir: str, scenario: str = "clean") -> State:
 # -- nested payload ---------------------------------------------------------------
 
 def payload(spark: SparkSession, sf_dir: str, repeats: bool = False) -> DataFrame:
-    """The nested upstream shape, built row by row from ``orders``.
+    """The nested upstream feed, kept as it came in before anything uses it.
 
     ``repeats`` lets some entries take the name and the keys of their neighbour.
     """
+    return once(spark, sf_dir, ("payload", repeats), lambda: written(nested_orders(spark, sf_dir, repeats), "raw-payload"))
+
+
+def nested_orders(spark: SparkSession, sf_dir: str, repeats: bool) -> DataFrame:
+    """Entries built row by row from ``orders``."""
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("entity_pos"), F.col("o_custkey").alias("c"),
         F.col("o_orderpriority").alias("priority"), F.col("o_orderstatus").alias("status"))
+    orders = spread(orders)
     is_copy = (F.col("entity_pos") % 97 == 5) if repeats else F.lit(False)
     orders = orders.withColumn("number", F.col("entity_pos") - F.when(is_copy, 1).otherwise(0))
 

@@ -58,6 +58,12 @@ def scratch_root(spark: SparkSession) -> str:
     return folder
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores, when the files alone would keep only a few busy."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the scratch folder once and read it back.
 
