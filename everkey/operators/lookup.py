@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.keys import entity_ref, id_number, variant_ref
+from ..functions.joins import left_join_many
 from ..functions.lists import PAGE_SIZE, paged_lists
 from ..functions.text import (
     has_text, in_set, is_errata, same_product, same_text, set_name_of, set_number_of,
@@ -61,7 +62,7 @@ def resolve_keys(keys: DataFrame, history: DataFrame, variants: DataFrame, entit
 def resolve_names(names: DataFrame, history: DataFrame) -> DataFrame:
     """All entities that ever had a name: names, unlike keys, may be shared."""
     matches = history.select("name", "entity_id", "valid_from", "valid_to")
-    return names.join(matches, "name", "left").select(
+    return left_join_many(names, matches, "name").select(
         *names.columns, entity_ref(F.col("entity_id")).alias("codex_id"), "valid_from", "valid_to")
 
 
@@ -76,7 +77,7 @@ def entity_bundle(requests: DataFrame, entities: DataFrame, variants: DataFrame,
                         "printings", page_size)
     found = entities.select("entity_id", *ENTITY_FIELDS, is_errata(F.col("rules_text")).alias("errata"),
                             F.lit(True).alias("found"))
-    return wanted.join(found, "entity_id", "left").join(lists, "entity_id", "left").select(
+    return left_join_many(wanted.join(found, "entity_id", "left"), lists, "entity_id").select(
         *requests.columns, F.coalesce("found", F.lit(False)).alias("found"),
         entity_ref(F.col("entity_id")).alias("codex_id"), *ENTITY_FIELDS, "errata",
         F.coalesce("page", F.lit(0).cast("bigint")).alias("page"), "printings")

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.keys import entity_ref, variant_ref
+from ..functions.joins import left_join_many
 from ..functions.lists import PAGE_SIZE, paged_lists
 from ..functions.text import is_errata
 from ..schemas import ENTITY_FIELDS, SCHEMA_VERSION, VARIANT_FIELDS
@@ -40,9 +41,9 @@ def published_entities(entities: DataFrame, variants: DataFrame, page_size: int
     lists = variants_per_entity(variants, page_size).join(
         sets_per_entity(variants, page_size), ["codex_id", "page"], "full_outer")
     empty = F.array().cast("array<string>")
-    return entities.select(
-        entity_ref(F.col("entity_id")).alias("codex_id"), *ENTITY_FIELDS, is_errata(F.col("rules_text")).alias("errata"),
-    ).join(lists, "codex_id", "left").select(
+    plain = entities.select(
+        entity_ref(F.col("entity_id")).alias("codex_id"), *ENTITY_FIELDS, is_errata(F.col("rules_text")).alias("errata"))
+    return left_join_many(plain, lists, "codex_id").select(
         "codex_id", F.coalesce("page", F.lit(0).cast("bigint")).alias("page"), *ENTITY_FIELDS, "errata",
         F.coalesce("set_numbers", empty).alias("set_numbers"),
         F.coalesce("printing_ids", empty).alias("printing_ids"),

@@ -178,7 +178,9 @@ def _with_ownership(outcomes: DataFrame, history: DataFrame, decided: bool) -> D
         .when((F.col("side") == ADDED) & F.col("outcome").isin("rename", "new"), F.col("slug"))
     outcomes = outcomes.withColumn("claimed", claimed)
     claims = outcomes.where("claimed is not null")
-    owners = key_owners(history, claims.select(F.col("claimed").alias("slug"))).withColumnRenamed("slug", "claimed")
+    # All history is read here, once; what it says about these keys is little.
+    owners = written(key_owners(history, claims.select(F.col("claimed").alias("slug"))), "claimed-keys") \
+        .withColumnRenamed("slug", "claimed")
     stopped = F.col("owner_id").isNotNull() & ~F.col("owner_id").eqNullSafe(F.col("variant_id"))
     claims = claims.join(owners, "claimed", "left") \
         .withColumn("outcome", F.when(stopped, "owned").otherwise(F.col("outcome")))
