@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .joins import grouped
+
 PAGE_SIZE = 10_000
 
 
@@ -19,7 +21,7 @@ def paged_lists(rows: DataFrame, keys: list[str], number: Column, item: Column,
     key = F.struct(*[F.col(k) for k in keys])
     order = number if order is None else order
     keyed = rows.select(key.alias("_key"), number.alias("_number"), order.alias("_order"), item.alias("_item"))
-    large = keyed.groupBy("_key").agg(F.count("*").alias("_rows")).where(F.col("_rows") > page_size)
+    large = grouped(keyed, ["_key"], F.count("*").alias("_rows")).where(F.col("_rows") > page_size)
     paged = keyed.join(large, "_key", "left").withColumn(
         "page", F.when(F.col("_rows").isNotNull(), F.floor(F.col("_number") / page_size)).otherwise(0).cast("bigint"))
     lists = paged.groupBy("_key", "page").agg(

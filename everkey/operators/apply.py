@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.slices import number_rows
 from ..schemas import ENTITY_FIELDS, SCHEMA_VERSION, STATE_TABLES, VARIANT_COMPARED, VARIANT_FIELDS
+from ..session import written
 from . import entity_diff as ed, variant_diff as vd
 from .history import close_and_open
 
@@ -49,17 +50,17 @@ def _patched(table: DataFrame, patch: DataFrame, id_column: str, fields: list[st
 
 
 def allocate_entities(state: State, plan: ed.EntityPlan) -> DataFrame:
-    """New entities with ids in payload order.  The numbered slices are on disk,
-    so reading them again gives every row the same id."""
+    """New entities with ids in payload order, written once: the table, its
+    history and the counters all need them."""
     numbered = number_rows(ed.new_entities(plan), ["entity_pos"], "entity_id",
                            counter(state.counters, ENTITY_COUNTER), "new-entities")
-    return numbered.drop("entity_pos")
+    return written(numbered.drop("entity_pos"), "allocated-entities")
 
 
 def allocate_variants(state: State, plan: vd.VariantPlan) -> DataFrame:
     numbered = number_rows(vd.new_variants(plan), ["entity_pos", "set_pos", "variant_pos"], "variant_id",
                            counter(state.counters, VARIANT_COUNTER), "new-variants")
-    return numbered.drop("entity_pos", "set_pos", "variant_pos")
+    return written(numbered.drop("entity_pos", "set_pos", "variant_pos"), "allocated-variants")
 
 
 def next_entities(state: State, plan: ed.EntityPlan, added: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.joins import distinct_keys
 from ..functions.keys import id_number
 from ..schemas import SCHEMA_VERSION, THRESHOLD_FIELDS
 from .apply import ENTITY_COUNTER, VARIANT_COUNTER, VERSION_ROW, State, counter
@@ -210,7 +211,7 @@ def check_lost_links(old: DataFrame, new: DataFrame) -> DataFrame:
         return published.select(id_number(F.col("codex_id")).alias("entity_id"), F.explode("printing_ids").alias("p")) \
             .select("entity_id", id_number(F.col("p")).alias("variant_id"))
 
-    still_there = new.select(id_number(F.col("codex_id")).alias("entity_id")).distinct()
+    still_there = distinct_keys(new.select(id_number(F.col("codex_id")).alias("entity_id")), "entity_id")
     lost = links(old).join(links(new), ["entity_id", "variant_id"], "left_anti") \
         .join(still_there, "entity_id", "left_semi")
     return _violation(lost, "lost_link", F.col("entity_id"), F.concat(F.lit("variant "), F.col("variant_id")))

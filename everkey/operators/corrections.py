@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.joins import grouped
 from ..functions.text import canon_text
 from ..schemas import ENTITY_COMPARED, VARIANT_FIELDS
 from .flatten import refuse
@@ -28,7 +29,7 @@ def _latest(corrections: DataFrame, target: list[str], column: str) -> DataFrame
     last = corrections.where("field is not null").groupBy(*target, "field").agg(
         F.max_by(F.struct("ord", "value"), "ord").alias("setting"))
     entry = F.struct("field", "setting")
-    return last.groupBy(*target).agg(F.map_from_entries(F.collect_list(entry)).alias(column))
+    return grouped(last, target, F.map_from_entries(F.collect_list(entry)).alias(column))
 
 
 def _corrected(field: str, kind: str, *layers: str) -> Column:
@@ -65,7 +66,7 @@ def correct_variants(variants: DataFrame, corrections: DataFrame) -> DataFrame:
 def unmatched_corrections(entities: DataFrame, variants: DataFrame, corrections: DataFrame) -> DataFrame:
     """Corrections that hit nothing: upstream has probably been mended."""
     entries = with_match_keys(corrections).select("ord", "name", "set_name", "reason").distinct()
-    owners = variants.select(F.col("entity_name").alias("name"), "set_name")
+    owners = variants.select(F.col("entity_name").alias("name"), "set_name").distinct()
     wide = entries.where("set_name is null") \
         .join(entities.select("name"), "name", "left_anti") \
         .join(owners.select("name"), "name", "left_anti")

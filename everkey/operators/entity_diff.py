@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.joins import grouped
 from ..functions.records import any_change, changed_fields, fingerprint, review_summary
 from ..schemas import ENTITY_COMPARED, ENTITY_FIELDS
 from ..session import written
@@ -67,7 +68,8 @@ def pair_counts(rows: DataFrame, key: Column, *firsts: Column) -> DataFrame:
     Partial aggregation shrinks even a key held by a third of all rows to one
     row per task before the shuffle.
     """
-    return rows.groupBy(key.alias("key")).agg(
+    return grouped(
+        rows.withColumn("key", key), ["key"],
         F.count_if(F.col("side") == MISSING).alias("n_missing"),
         F.count_if(F.col("side") == ADDED).alias("n_added"),
         *firsts,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.keys import entity_ref, id_number, variant_ref
-from ..functions.joins import left_join_many
+from ..functions.joins import distinct_keys, grouped, left_join_many
 from ..functions.lists import PAGE_SIZE, paged_lists
 from ..functions.text import (
     has_text, in_set, is_errata, same_product, same_text, set_name_of, set_number_of,
@@ -21,8 +21,8 @@ def key_claims(history: DataFrame, variants: DataFrame) -> DataFrame:
 
 def key_owners(claims: DataFrame) -> DataFrame:
     """One row per key.  Lowest and highest claimant differ when a key is contested."""
-    return claims.groupBy("slug").agg(
-        F.min("variant_id").alias("owner_id"), F.max("variant_id").alias("other_id"),
+    return grouped(
+        claims, ["slug"], F.min("variant_id").alias("owner_id"), F.max("variant_id").alias("other_id"),
     ).select("slug", "owner_id", (F.col("owner_id") != F.col("other_id")).alias("conflicted"))
 
 
@@ -41,18 +41,17 @@ def resolve_keys(keys: DataFrame, history: DataFrame, variants: DataFrame, entit
     Only claims on wanted keys are grouped, so a short request is broadcast
     against the history instead of shuffling it.
     """
-    wanted = keys.select("slug").distinct()
-    owners = key_owners(key_claims(history, variants).join(wanted, "slug", "left_semi"))
-    targets = owners.where("not conflicted").select("slug", F.col("owner_id").alias("variant_id")).join(
-        variants.select("variant_id", "entity_id", F.col("slug").alias("current_slug"), "set_name", "set_number",
-                        "product", "finish", "retired_at"), "variant_id",
-    ).join(entities.select("entity_id", F.col("name").alias("card_name")), "entity_id")
-    details = owners.select("slug", "conflicted").join(targets, "slug", "left")
+    owners = key_owners(key_claims(history, variants).join(distinct_keys(keys, "slug"), "slug", "left_semi"))
+    targets = variants.select("variant_id", "entity_id", F.col("slug").alias("current_slug"), "set_name", "set_number",
+                              "product", "finish", "retired_at")
+    details = owners.select("slug", "conflicted", F.when(~F.col("conflicted"), F.col("owner_id")).alias("variant_id")) \
+        .join(targets, "variant_id", "left") \
+        .join(entities.select("entity_id", F.col("name").alias("card_name")), "entity_id", "left")
     answer = keys.join(details, "slug", "left")
     return answer.select(
         *keys.columns,
-        F.col("variant_id").isNotNull().alias("found"),
-        F.when(F.col("conflicted"), "conflict").when(F.col("variant_id").isNull(), "unknown").alias("problem"),
+        F.col("current_slug").isNotNull().alias("found"),
+        F.when(F.col("conflicted"), "conflict").when(F.col("current_slug").isNull(), "unknown").alias("problem"),
         variant_ref(F.col("variant_id")).alias("printing_id"), entity_ref(F.col("entity_id")).alias("codex_id"),
         "card_name", "current_slug", (F.col("current_slug") == F.col("slug")).alias("queried_slug_is_current"),
         "set_name", "set_number", "product", "finish", "retired_at",
@@ -70,14 +69,14 @@ def entity_bundle(requests: DataFrame, entities: DataFrame, variants: DataFrame,
                   page_size: int = PAGE_SIZE) -> DataFrame:
     """Requested entities (``id`` in any spelling) with all their variants."""
     wanted = requests.withColumn("entity_id", id_number(F.col("id")))
-    ids = wanted.select("entity_id").distinct()
+    ids = distinct_keys(wanted, "entity_id")
     item = F.struct(variant_ref(F.col("variant_id")).alias("printing_id"), "slug", "set_name", "set_number",
                     "product", "finish", "artist", "retired_at")
-    lists = paged_lists(variants.join(ids, "entity_id", "left_semi"), ["entity_id"], F.col("variant_id"), item,
-                        "printings", page_size)
+    members = variants.join(ids, "entity_id", "left_semi")
+    lists = paged_lists(members, ["entity_id"], F.col("variant_id"), item, "printings", page_size)
     found = entities.select("entity_id", *ENTITY_FIELDS, is_errata(F.col("rules_text")).alias("errata"),
                             F.lit(True).alias("found"))
-    return left_join_many(wanted.join(found, "entity_id", "left"), lists, "entity_id").select(
+    return left_join_many(wanted.join(found, "entity_id", "left"), lists, "entity_id", members).select(
         *requests.columns, F.coalesce("found", F.lit(False)).alias("found"),
         entity_ref(F.col("entity_id")).alias("codex_id"), *ENTITY_FIELDS, "errata",
         F.coalesce("page", F.lit(0).cast("bigint")).alias("page"), "printings")
@@ -85,7 +84,7 @@ def entity_bundle(requests: DataFrame, entities: DataFrame, variants: DataFrame,
 
 def variant_detail(requests: DataFrame, variants: DataFrame, entities: DataFrame) -> DataFrame:
     wanted = requests.withColumn("variant_id", id_number(F.col("id")))
-    found = with_entity_name(variants.join(wanted.select("variant_id").distinct(), "variant_id", "left_semi"), entities)
+    found = with_entity_name(variants.join(distinct_keys(wanted, "variant_id"), "variant_id", "left_semi"), entities)
     return wanted.join(found, "variant_id", "left").select(
         *requests.columns, F.col("slug").isNotNull().alias("found"),
         variant_ref(F.col("variant_id")).alias("printing_id"), entity_ref(F.col("entity_id")).alias("codex_id"),
@@ -109,7 +108,7 @@ def matching_entities(entities: DataFrame, variants: DataFrame, name: str | None
         found = found.where(F.col("errata") == errata)
     if card_set:
         members = variants.where(in_set(F.col("set_number"), F.col("set_name"), card_set.strip()))
-        found = found.join(members.select("entity_id"), "entity_id", "left_semi")
+        found = found.join(members.select("entity_id").distinct(), "entity_id", "left_semi")
     return found
 
 

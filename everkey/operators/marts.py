@@ -43,7 +43,8 @@ def published_entities(entities: DataFrame, variants: DataFrame, page_size: int
     empty = F.array().cast("array<string>")
     plain = entities.select(
         entity_ref(F.col("entity_id")).alias("codex_id"), *ENTITY_FIELDS, is_errata(F.col("rules_text")).alias("errata"))
-    return left_join_many(plain, lists, "codex_id").select(
+    listed = variants.select(entity_ref(F.col("entity_id")).alias("codex_id"))
+    return left_join_many(plain, lists, "codex_id", listed).select(
         "codex_id", F.coalesce("page", F.lit(0).cast("bigint")).alias("page"), *ENTITY_FIELDS, "errata",
         F.coalesce("set_numbers", empty).alias("set_numbers"),
         F.coalesce("printing_ids", empty).alias("printing_ids"),

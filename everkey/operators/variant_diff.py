@@ -10,11 +10,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.joins import distinct_keys, grouped
 from ..functions.records import any_change, changed_fields
 from ..schemas import PAIR_FIELDS, VARIANT_COMPARED, VARIANT_FIELDS
 from ..session import written
 from .entity_diff import (
-    ADDED, MISSING, EntityPlan, cased_names, entity_renames, only, pair_counts,
+    ADDED, MISSING, EntityPlan, entity_renames, only, pair_counts,
 )
 from .flatten import refuse
 
@@ -77,7 +78,7 @@ def one_sided(differing: DataFrame, plan: EntityPlan) -> DataFrame:
     differing = differing.where(~F.coalesce("old.cased", F.lit(False)))
     missing = side(MISSING, "old", F.col("old.variant_id"), "effective_name")
     added = side(ADDED, "new", F.lit(None).cast("bigint"), "entity_name")
-    cased = cased_names(plan).withColumnRenamed("name", "entity_name")
+    cased = plan.outcomes.where("outcome = 'case'").select(F.col("name").alias("entity_name"))
     return missing.unionByName(added.join(cased, "entity_name", "left_anti"))
 
 
@@ -127,13 +128,15 @@ def key_owners(history: DataFrame, wanted: DataFrame) -> DataFrame:
     not stored), so the history decides.  Narrowing the history to the wanted
     keys first lets a short list be broadcast instead of shuffling all history.
     """
-    keys = wanted.select("slug").distinct()
-    return history.join(keys, "slug", "left_semi").groupBy("slug").agg(F.max("variant_id").alias("owner_id"))
+    return history.join(distinct_keys(wanted, "slug"), "slug", "left_semi").groupBy("slug").agg(F.max("variant_id").alias("owner_id"))
 
 
 def classify_variants(entities: DataFrame, variants: DataFrame, history: DataFrame, snapshot: DataFrame,
                       plan: EntityPlan, decisions: dict[str, DataFrame] | None = None) -> VariantPlan:
-    differing = written(differences(variants, entity_view(entities, plan), snapshot), "variant-differences")
+    # Written, so that the join to the variants shuffles both sides afresh and an
+    # entity with very many variants can be split.
+    view = written(entity_view(entities, plan), "entity-view")
+    differing = written(differences(variants, view, snapshot), "variant-differences")
     rows = one_sided(differing, plan)
     if decisions:
         refuse(stale_variant_decisions(rows, decisions), "variant decision does not fit the differences")
@@ -149,8 +152,8 @@ def classify_variants(entities: DataFrame, variants: DataFrame, history: DataFra
         only(MISSING, "variant_id", "old_id"), only(MISSING, "slug", "old_slug"), only(ADDED, "slug", "new_slug"),
     ).withColumn("unique", (F.col("n_missing") == 1) & (F.col("n_added") == 1))
     # What is left per entity, summed over groups and not over rows.
-    left = groups.where("not unique").groupBy(F.col("key.entity_name").alias("left_name")).agg(
-        (F.sum("n_missing") * F.sum("n_added") > 0).alias("both_left"))
+    left = grouped(groups.where("not unique").withColumn("left_name", F.col("key.entity_name")), ["left_name"],
+                   (F.sum("n_missing") * F.sum("n_added") > 0).alias("both_left"))
     groups = groups.join(left, F.col("key.entity_name") == F.col("left_name"), "left").drop("left_name")
 
     unique, is_missing = F.coalesce("unique", F.lit(False)), F.col("side") == MISSING
