@@ -46,6 +46,7 @@ def main() -> None:
         w.state(spark, sf_dir, scenario)
         w.snapshot(spark, sf_dir, scenario)
     w.state(spark, sf_dir, "clean", corrupt=True)
+    w.payload(spark, sf_dir)
     w.damaged_state(spark, sf_dir)
     times["write_inputs"] = time.perf_counter() - start
     for name in wanted:

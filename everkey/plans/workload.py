@@ -282,12 +282,9 @@ def entity_plan(spark: SparkSession, sf_dir: str, scenario: str = "clean") -> ed
 
 
 def after(spark: SparkSession, sf_dir: str, scenario: str = "clean") -> State:
-    """The state a run leaves behind."""
-    def build() -> State:
-        result = apply_plan(state(spark, sf_dir, scenario), *plan(spark, sf_dir, scenario), AS_OF)
-        return State(**{name: written(df, f"after-{name}") for name, df in result.tables().items()})
-
-    return once(spark, sf_dir, ("after", scenario), build)
+    """The state a run leaves behind; new ids are on disk, the tables are computed when read."""
+    return once(spark, sf_dir, ("after", scenario), lambda: apply_plan(
+        state(spark, sf_dir, scenario), *plan(spark, sf_dir, scenario), AS_OF))
 
 
 # -- nested payload ---------------------------------------------------------------
