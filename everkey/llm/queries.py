@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..catalog import Catalog
-from . import licenses, mixing, pii, sql, urls
+from . import licenses, lines, mixing, pii, simhash, sql, toxicity, urls
 
 catalog = Catalog()
 
@@ -27,6 +27,22 @@ def op4_mix(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@catalog.add("op5_simhash")
+def op5_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@catalog.add("op7_toxicity")
+def op7_toxicity(spark, sf_dir):
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@catalog.add("op8_line_dedup")
+def op8_line_dedup(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.deduplicated(documents, details=True)
+
+
 @catalog.add("op9_url_filter", sql.URLS)
 def op9_url_filter(spark, sf_dir):
     return urls.judge(table(spark, sf_dir, "pages"))
