@@ -19,8 +19,8 @@ from ..session import written
 
 #: Words in a block, and the most words and documents that a shard is meant to hold.
 BLOCK_WORDS = 32
-SHARD_WORDS = 1 << 22
-SHARD_DOCS = 1 << 16
+SHARD_WORDS = 1 << 21
+SHARD_DOCS = 1 << 13
 SEED = "mix-1"
 #: Fixed values of the contract: weights of the sources in code point order, repeating, and the limit for repeats.
 WEIGHTS = (5, 2, 1)
