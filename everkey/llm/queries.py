@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..catalog import Catalog
-from . import licenses, lines, mixing, pii, simhash, sql, toxicity, urls
+from . import licenses, lines, matroska, mixing, neighbours, pii, sentences, simhash, sql, toxicity, urls
 
 catalog = Catalog()
 
@@ -22,6 +22,16 @@ def op1_pseudonyms(spark, sf_dir):
     return pii.pseudonymise(table(spark, sf_dir, "documents"), DEMO_KEY)
 
 
+@catalog.add("op2_matroska")
+def op2_matroska(spark, sf_dir):
+    return matroska.read_back(matroska.stored(table(spark, sf_dir, "documents")))
+
+
+@catalog.add("op3_neighbours")
+def op3_neighbours(spark, sf_dir):
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("_id") % 100 == 0)
+
+
 @catalog.add("op4_mix", sql.MIX)
 def op4_mix(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -32,6 +42,11 @@ def op5_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@catalog.add("op6_sentencepiece")
+def op6_sentencepiece(spark, sf_dir):
+    return sentences.encoded(table(spark, sf_dir, "documents"))
+
+
 @catalog.add("op7_toxicity")
 def op7_toxicity(spark, sf_dir):
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -11,7 +11,7 @@ merges leave at the end of the text so far, found by asking for each candidate w
 before it apart.  Ids equal those of the library in both kinds.
 
 No piece holds a word mark behind another character, so every path passes the boundary before one: words are encoded once
-and remembered (at most ``REMEMBERED`` in a worker).  Models are read, never trained.
+and remembered (at most twice ``REMEMBERED`` in a worker).  Models are read, never trained.
 """
 
 from __future__ import annotations
@@ -60,20 +60,41 @@ class Pieces:
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("a piece goes over the end of a word")
         self.line_breaks = any("\n" in p for p in self.ids)
-        #: Lengths of the pieces that end with two given characters, or with one.
-        ends: dict[str, set[int]] = {}
-        for p in self.ids:
-            ends.setdefault(p[-2:], set()).add(len(p))
-        self.lengths = {k: sorted(v, reverse=True) for k, v in ends.items()}
-        self.apart_: dict[tuple[str, str], bool] = {}
+        #: Characters that stand next to each other in some piece; between any others every path has a boundary.
+        self.inside = {x for p in self.ids for x in zip(p, p[1:])}
+        self.apart_: dict[int, bool] = {}
+        #: Words in use, and those of the time before; a word still in use goes back to the first.
         self.words: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
+        if self.merges:
+            self.learn_merges()
+
+    def learn_merges(self) -> None:
+        """For each piece that merging its characters gives: the two pieces merged last, and its place in the order."""
+        order = {score: i for i, score in enumerate(sorted(set(self.scores.values()), reverse=True))}
+        self.place = [0] * len(self.names)
+        self.halves: list[tuple[int, int] | None] = [None] * len(self.names)
+        #: The pieces read backwards as a tree; under "" stands the id of the piece that ends the walk there.
+        self.backwards: dict = {}
+        for p, i in self.ids.items():
+            self.place[i] = order[self.scores[p]] if len(p) > 1 else -1
+            if len(p) > 1:
+                rest = self.merged(p, 2)
+                if len(rest) == 2:
+                    self.halves[i] = (self.ids[rest[0]], self.ids[rest[1]])
+                else:
+                    continue
+            node = self.backwards
+            for c in reversed(p):
+                node = node.setdefault(c, {})
+            node[""] = i
 
     # ---- which path is best
 
-    def merged(self, text: str) -> list[str]:
-        """What the merges leave of a short text: highest score first, then leftmost."""
+    def merged(self, text: str, until: int = 1) -> list[str]:
+        """What the merges leave of a short text, stopped at ``until`` parts: highest score first, then leftmost."""
         parts = list(text)
-        while len(parts) > 1:
+        while len(parts) > until:
             best = max(((self.scores[a + b], -i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in self.scores), default=None)
             if best is None:
                 break
@@ -81,37 +102,65 @@ class Pieces:
             parts[i: i + 2] = [parts[i] + parts[i + 1]]
         return parts
 
-    def apart(self, left: str, right: str) -> bool:
-        key = (left, right)
+    def apart(self, left: int, right: int) -> bool:
+        """Whether merging leaves two pieces side by side apart.
+
+        Goes back in time from the finished pieces: the one merged later falls into its halves, and at each step the two
+        parts at the border must not merge before what they became did.  Of equal merges the leftmost comes first.
+        Runs of word marks share one score, which says nothing about time; they are merged to see.
+        """
+        key = left * len(self.names) + right
         known = self.apart_.get(key)
         if known is None:
-            if len(self.apart_) >= REMEMBERED:
+            if len(self.apart_) >= 2 * REMEMBERED:
                 self.apart_.clear()
-            known = self.apart_[key] = self.merged(left + right) == [left, right]
+            known = self.apart_[key] = self._apart(left, right)
         return known
 
-    def candidates(self, text: str, end: int, low: int) -> Iterator[int]:
-        """Begins of the pieces that end at ``end``, the longest first."""
-        for n in self.lengths.get(text[max(end - 2, low): end], ()) if end - low > 1 else ():
-            if n > 1 and end - n >= low and text[end - n: end] in self.ids:
-                yield end - n
+    def _apart(self, left: int, right: int) -> bool:
+        names, place, ids = self.names, self.place, self.ids
+        if names[right][0] == MARK:
+            return self.merged(names[left] + names[right]) == [names[left], names[right]]
+        left_became = right_became = len(names)
+        while True:
+            over = ids.get(names[left] + names[right])
+            if over is not None and place[over] < left_became and place[over] <= right_became:
+                return False
+            if place[left] > place[right]:
+                left_became, left = place[left], self.halves[left][1]
+            elif place[right] >= 0:
+                right_became, right = place[right], self.halves[right][0]
+            else:
+                return True
 
     # ---- the stream
 
     def stream(self, text: str) -> Iterator[tuple[str, int]]:
         """Pieces of a text in the model's form, with their ids (-1: an unknown character), as they are committed."""
-        base, begins, scores = 0, [0], [0.0]
-        ends_in = {}
+        base, begins, scores, last, window = 0, [0], [0.0], [-1], 4 * self.longest
+        if self.merges:
+            tree, known, width = self.backwards, self.apart_, len(self.names)
         for end in range(1, len(text) + 1):
-            low = max(base, end - self.longest)
             chosen, best = end - 1, None
             if self.merges:
-                for begin in self.candidates(text, end, low):
-                    if begin == 0 or self.apart(text[begins[begin - base]: begin], text[begin:end]):
-                        chosen = begin
+                node, begin, found = tree.get(text[end - 1]), end - 1, []
+                while node:
+                    if "" in node:
+                        found.append((begin, node[""]))
+                    begin -= 1
+                    if begin < base:
                         break
+                    node = node.get(text[begin])
+                best = -1
+                # The piece before a candidate is that of its own boundary; the start and unknown characters part all.
+                for begin, id in reversed(found):
+                    before = last[begin - base]
+                    if before < 0 or ((fits := known.get(before * width + id)) is None and self.apart(before, id)) or fits:
+                        chosen, best = begin, id
+                        break
+                last.append(best)
             else:
-                for n in range(min(self.longest, end - low), 0, -1):
+                for n in range(min(self.longest, end - base), 0, -1):
                     piece = text[end - n: end]
                     if piece in self.scores:
                         score = scores[end - n - base] + self.scores[piece]
@@ -123,19 +172,16 @@ class Pieces:
                         chosen, best = end - n, score
                 scores.append(best)
             begins.append(chosen)
-            if len(begins) > 4 * self.longest:
+            if not end % window and len(begins) > 2 * self.longest:
                 live = set(range(max(base, end + 1 - self.longest), end + 1))
                 while len(live) > 1:
                     newest = max(live)
                     live.remove(newest)
                     live.add(begins[newest - base])
                 meeting = live.pop()
-                # In a merge model the piece before the window is needed to tell the next apart.
-                keep = begins[meeting - base] if self.merges and meeting > base else meeting
-                if keep > base:
+                if (keep := meeting) > base:
                     yield from self.path(text, begins, base, keep)
-                    begins, scores, base = begins[keep - base:], scores[keep - base:], keep
-                    begins[0] = keep
+                    begins, scores, last, base = begins[keep - base:], scores[keep - base:], last[keep - base:], keep
         yield from self.path(text, begins, base, len(text))
 
     def path(self, text: str, begins: list[int], base: int, end: int) -> list[tuple[str, int]]:
@@ -163,9 +209,15 @@ class Pieces:
     def word(self, word: str) -> tuple[int, ...]:
         found = self.words.get(word)
         if found is None:
-            found = self.encode_word(word)
+            if (found := self.older.get(word)) is not None:
+                pass
+            elif len(word) > 1 and word[-1] in ".,;:!?" and (word[-2], word[-1]) not in self.inside:
+                found = self.word(word[:-1]) + self.word(word[-1])
+            else:
+                found = self.encode_word(word)
             if len(word) <= 64:
                 if len(self.words) >= REMEMBERED:
+                    self.older = self.words.copy()
                     self.words.clear()
                 self.words[word] = found
         return found
