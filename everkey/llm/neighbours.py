@@ -2,13 +2,15 @@
 
 Equal vectors are one class with its smallest ids.  The trees are fitted on a bounded sample: a node splits its points
 half way between two of them.  Every class is then sent down every tree, and each leaf of each tree is a cell of the
-index.  A query walks all trees at once with one priority queue, always from the node whose nearest split it is least
-beyond, until the leaves it has reached hold ``REACH`` classes.  Queries and classes meet by cell; distances are exact, in
+index.  A query walks all trees at once with one priority queue, always from the node for which it has crossed the least
+(the sum of squared distances to the splits it is on the wrong side of), until the leaves it has reached hold ``REACH``
+classes.  Queries and classes meet by cell; distances are exact, in
 double precision, and a query's best from all cells are merged.
 
 The forest is what executors are sent: ``TREES * SAMPLE / SMALL`` nodes at most.  A cell with many rows is dealt into
 several, so a group stays within memory.  Each query looks at about ``REACH`` classes at any size, as long as leaves hold no
 more than that; beyond (``SAMPLE / SMALL * REACH`` vectors) a leaf is read whole, so work per query then grows with it.
+Vectors without any structure need a larger share of them looked at for the same recall; see the README.
 """
 
 from __future__ import annotations
@@ -25,11 +27,11 @@ from ..session import written
 from .batches import batch, pieces
 
 NEAREST = 10
-TREES = 10
+TREES = 16
 #: Vectors the trees are fitted on; a node with at most ``SMALL`` of them is a leaf.
-SAMPLE, SMALL = 1 << 15, 64
+SAMPLE, SMALL = 1 << 15, 128
 #: Classes in the leaves that a query reaches.
-REACH = 6000
+REACH = 24_000
 #: Rows of a cell that meet in one group.
 CELL = 1 << 15
 SEED = 11
@@ -101,16 +103,16 @@ def leaves_of(tree: Tree, vectors: np.ndarray) -> np.ndarray:
 
 def reached(forest: list[Tree], held: list[np.ndarray], query: np.ndarray, reach: int) -> list[tuple[int, int]]:
     """(tree, leaf) pairs in the order in which one queue over all trees comes to them."""
-    queue = [(-np.inf, t, 0) for t in range(len(forest))]
+    queue = [(0.0, t, 0) for t in range(len(forest))]
     out, got = [], 0
     while queue and got < reach:
-        behind, t, node = heapq.heappop(queue)
+        crossed, t, node = heapq.heappop(queue)
         tree = forest[t]
         while tree.left[node] >= 0:
             margin = float(tree.normals[node] @ query) + tree.offsets[node]
             near, far = (tree.right[node], tree.left[node]) if margin > 0 else (tree.left[node], tree.right[node])
-            heapq.heappush(queue, (max(behind, abs(margin)), t, int(far)))
-            behind, node = max(behind, -abs(margin)), int(near)
+            heapq.heappush(queue, (crossed + margin * margin, t, int(far)))
+            node = int(near)
         leaf = int(-tree.left[node] - 1)
         if held[t][leaf]:
             out.append((t, leaf))
@@ -156,7 +158,10 @@ def search(vectors: DataFrame, wanted: Column, nearest: int = NEAREST, reach: in
     points = matrix(chosen.column(0).combine_chunks())
     forest = plant(points, trees, small) if len(points) else []
     sent = spark.sparkContext.broadcast(forest)
-    placed_schema = pa.schema([("tree", pa.int32()), ("leaf", pa.int32()), ("_class", pa.int64()), ("_members", pa.list_(pa.int64())), ("_vector", pa.list_(pa.float32()))])
+    # Vectors travel as they are stored: as floats, or else as doubles.
+    kind = "array<float>" if index.schema["_vector"].dataType.simpleString() == "array<float>" else "array<double>"
+    listed = pa.list_(pa.float32() if kind == "array<float>" else pa.float64())
+    placed_schema = pa.schema([("tree", pa.int32()), ("leaf", pa.int32()), ("_class", pa.int64()), ("_members", pa.list_(pa.int64())), ("_vector", listed)])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, 2048):
@@ -174,14 +179,12 @@ def search(vectors: DataFrame, wanted: Column, nearest: int = NEAREST, reach: in
             some = np.flatnonzero(h)
             yield batch(pa.schema([("tree", pa.int32()), ("leaf", pa.int32()), ("n", pa.int64())]), np.full(len(some), t, np.int32), some.astype(np.int32), h[some])
 
-    kind = index.schema["_vector"].dataType.simpleString()
-    singles = index.withColumn("_vector", F.col("_vector").cast("array<float>"))
     counted = index.select("_vector").mapInArrow(count, "tree int, leaf int, n long").groupBy("tree", "leaf").agg(F.sum("n").alias("n")).collect()
     held = [np.zeros(int((tree.left < 0).sum()), np.int64) for tree in forest]
     for c in counted:
         held[c["tree"]][c["leaf"]] = c["n"]
     known = spark.sparkContext.broadcast(held)
-    probe_schema = pa.schema([("tree", pa.int32()), ("leaf", pa.int32()), ("part", pa.int32()), ("_query", pa.int64()), ("_own", pa.list_(pa.float64()))])
+    probe_schema = pa.schema([("tree", pa.int32()), ("leaf", pa.int32()), ("part", pa.int32()), ("_query", pa.int64()), ("_own", listed)])
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, 256):
@@ -190,13 +193,11 @@ def search(vectors: DataFrame, wanted: Column, nearest: int = NEAREST, reach: in
                 if cells:
                     yield batch(probe_schema, *zip(*cells), [q] * len(cells), [raw] * len(cells))
 
-    queries = rows.where(wanted).distinct()
-    probes = queries.mapInArrow(probe, "tree int, leaf int, part int, _query long, _own array<double>")
+    queries = rows.where(wanted).distinct().select("_id", F.col("_vector").cast(kind).alias("_vector"))
+    probes = queries.mapInArrow(probe, f"tree int, leaf int, part int, _query long, _own {kind}")
     counts = F.broadcast(spark.createDataFrame([(c["tree"], c["leaf"], c["n"]) for c in counted], "tree int, leaf int, n long"))  # a row a leaf
-    wide = (singles if kind == "array<float>" else index).select("_class", "_members", "_vector")
-    if kind != "array<float>":
-        placed_schema = placed_schema.set(4, pa.field("_vector", pa.list_(pa.float64())))
-    placed = wide.select("_class", "_members", "_vector").mapInArrow(place, f"tree int, leaf int, _class long, _members array<long>, _vector {'array<float>' if kind == 'array<float>' else 'array<double>'}")
+    wide = index.select("_class", "_members", F.col("_vector").cast(kind).alias("_vector"))
+    placed = wide.mapInArrow(place, f"tree int, leaf int, _class long, _members array<long>, _vector {kind}")
     dealt = placed.join(counts, ["tree", "leaf"]).withColumn("part", (F.pmod(F.xxhash64("_class"), F.ceil(F.col("n") / cell))).cast("int")).drop("n")
     found_schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 

@@ -36,8 +36,8 @@ SHINGLE = 4
 SEED = 42
 #: Fingerprints that share a probe value and are still compared in pairs.
 CROWD = 256
-#: Cost of a candidate, in probes.
-CANDIDATE = 8.0
+#: Cost of a chance meeting of two fingerprints at a probe value, in probes.
+MEETING = 4.0
 #: Shingles hashed at a time, so that a very long text needs little memory.
 SLICE = 1 << 16
 
@@ -120,18 +120,13 @@ def grouped_bits(corr: np.ndarray, parts: int) -> list[list[int]]:
     return out
 
 
-def within(p: np.ndarray, corr: np.ndarray, bits: list[int], most: int) -> np.ndarray:
-    """Chance that two fingerprints differ in at most 0, 1 .. ``most`` of the bits.  Correlation counts as fewer bits."""
+def equal_by_chance(p: np.ndarray, corr: np.ndarray, bits: list[int]) -> float:
+    """Chance that two fingerprints agree in all of the bits.  Correlation counts as fewer bits."""
     rho = corr[np.ix_(bits, bits)]
     mean = (rho.sum() - np.trace(rho)) / max(len(bits) * (len(bits) - 1), 1)
     own = max(1, round(len(bits) / (1 + (len(bits) - 1) * mean ** 2)))
     differ = np.sort(2 * p[bits] * (1 - p[bits]))[::-1][:own]
-    chance = np.zeros(most + 1)
-    chance[0] = 1
-    for q in differ:
-        chance[1:] = chance[1:] * (1 - q) + chance[:-1] * q
-        chance[0] *= 1 - q
-    return np.cumsum(chance)
+    return float(np.prod(1 - differ))
 
 
 def ball(width: int, radius: int) -> int:
@@ -147,10 +142,12 @@ def allocate(n: int, both: np.ndarray, distance: int = DISTANCE) -> list[tuple[l
         # cheapest[s]: lowest cost, and thresholds, of the groups so far whose thresholds plus one add up to s
         cheapest = {0: (0.0, [])}
         for bits in groups:
-            chance, step = within(p, corr, bits, distance), {}
+            chance, step = equal_by_chance(p, corr, bits), {}
             for s, (cost, so_far) in cheapest.items():
                 for t in range(-1, distance - s + 1):
-                    more = 0.0 if t < 0 else n * ball(len(bits), (t + 1) // 2) + CANDIDATE * n * n / 2 * chance[t]
+                    around = ball(len(bits), (t + 1) // 2)
+                    # Either side brings its whole ball, so two meet at a value by chance as often as any two values of them are equal.
+                    more = 0.0 if t < 0 else n * around + MEETING * n * n / 2 * around * around * chance
                     if s + t + 1 not in step or cost + more < step[s + t + 1][0]:
                         step[s + t + 1] = (cost + more, so_far + [t])
             cheapest = step
