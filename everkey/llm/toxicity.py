@@ -1,9 +1,12 @@
 """Toxicity: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
-Texts are lower-cased, runs of blanks become one, and the n-grams of four lengths are hashed to buckets.  A first pass
-over every labelled row counts, for each bucket, the toxic and the clean documents that hold it.  The log of the ratio
-of the two smoothed shares is the bucket's scale; the buckets whose ratios tell most are the features.  A logistic
-regression on the presence of features, each times its scale, is then fitted on a bounded sample of labelled rows.
+Texts are lower-cased, runs of blanks become one, and the n-grams of four lengths are hashed to buckets.  It learns from
+a bounded sample of the labelled rows, ``SAMPLE`` of either class at most, those whose ids hash lowest.  For each bucket
+the toxic and the clean documents that hold it are counted.  The log of the ratio of the two smoothed shares is the
+bucket's scale; the buckets whose ratios tell most are the features.  A logistic regression on the presence of
+features, each times its scale, is then fitted; classes weigh as they come among all labelled rows.
+
+The sample is drawn from the labels, which are small; its ids then pick their texts, so texts are never joined whole.
 
 Scoring needs one table of weights by bucket (4 MB) and no shuffle.  A feature counts once a document, however long.
 """
@@ -22,9 +25,11 @@ from .batches import batch, pieces
 
 ORDERS = (4, 5, 6, 7)
 BUCKETS = 1 << 20
-#: Features kept, and labelled rows of either class in the sample for the fit: together they bound its memory.
+#: Features kept, and labelled documents of either class in the sample: together they bound the fit.
 FEATURES = 1 << 14
-SAMPLE = 2048
+SAMPLE = 8192
+#: Tasks that the sample is dealt over.
+TASKS = 8
 THRESHOLD = 0.3
 #: Smoothing of the counts, weight of the penalty, steps of the fit.
 SMOOTH, PENALTY, STEPS = 1.0, 1e-3, 300
@@ -72,12 +77,20 @@ def held_out(id: Column) -> Column:
     return F.coalesce(F.crc32(id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def labelled(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """``_id, _text, _toxic`` of rows to learn from.  Of several labels for an id the highest holds."""
-    marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("_toxic"))
-    marks = marks.where(~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("_id"), "_toxic")
-    texts = documents.select(F.col("doc_id").alias("_key"), F.coalesce("text", F.lit("")).alias("_text")).where(~held_out(F.col("_key")))
-    return texts.join(marks, F.col("_key") == F.col("_id")).select("_id", "_text", "_toxic")
+def labelled(documents: DataFrame, labels: DataFrame, sample: int) -> tuple[DataFrame, np.ndarray]:
+    """``_id, _text, _toxic`` of the sample, and the numbers of all clean and toxic labels to learn from.
+
+    Of several labels for an id the highest holds; of several documents with an id the one whose text hashes lowest.
+    """
+    marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("_toxic"))
+    marks = written(marks.where(~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("_id"), "_toxic"), "toxicity-labels")
+    all_ = {r["_toxic"]: r["n"] for r in marks.groupBy("_toxic").agg(F.count("*").alias("n")).collect()}
+    drawn = [marks.where(F.col("_toxic") == k).orderBy(F.xxhash64("_id"), "_id").limit(sample) for k in (0, 1)]
+    # At most twice the sample of ids, so they can be sent to every task.
+    ids = F.broadcast(written(drawn[0].union(drawn[1]), "toxicity-sample"))
+    texts = documents.select(F.col("doc_id").alias("_key"), F.coalesce("text", F.lit("")).alias("_text"))
+    rows = texts.join(ids, F.col("_key") == F.col("_id")).groupBy("_id", "_toxic").agg(F.min_by("_text", F.xxhash64("_text")).alias("_text"))
+    return written(rows, "toxicity-rows"), np.array([all_.get(0, 0), all_.get(1, 0)], float)
 
 
 def bucket_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -93,7 +106,7 @@ def bucket_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         some = np.flatnonzero(counts[0] + counts[1])
         yield batch(schema, np.append(some, BUCKETS).astype(np.int32), np.append(counts[0, some], docs[0]).astype(np.int64), np.append(counts[1, some], docs[1]).astype(np.int64))
 
-    sums = rows.select("_text", "_toxic").mapInArrow(run, "bucket int, clean long, toxic long").groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    sums = rows.select("_text", "_toxic").repartition(TASKS).mapInArrow(run, "bucket int, clean long, toxic long").groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     # At most one row a bucket that two documents hold; a bucket of one document can't tell anything.
     table = sums.where(f"clean + toxic > 1 or bucket = {BUCKETS}").toArrow()
     counts = np.zeros((2, BUCKETS + 1))
@@ -120,8 +133,7 @@ def fit(rows: list[tuple[np.ndarray, int]], scale: np.ndarray, shares: np.ndarra
     owner = np.repeat(np.arange(len(rows)), [len(r) for r, _ in rows])
     y = np.array([m for _, m in rows], float)
     weight = np.where(y > 0, shares[1] / max(y.sum(), 1), shares[0] / max((1 - y).sum(), 1))
-    w, bias = np.zeros(len(scale) + 1), 0.0
-    bias = float(np.log((shares[1] + 1e-6) / (shares[0] + 1e-6)))
+    bias = float(np.log(shares[1] / shares[0]))
     theta, m, v = np.append(np.zeros(len(scale)), bias), np.zeros(len(scale) + 1), np.zeros(len(scale) + 1)
     values = scale[indices]
     for step in range(1, STEPS + 1):
@@ -133,12 +145,9 @@ def fit(rows: list[tuple[np.ndarray, int]], scale: np.ndarray, shares: np.ndarra
     return theta[:-1] * scale, float(theta[-1])
 
 
-def train(documents: DataFrame, labels: DataFrame) -> Model:
-    """Counts over every labelled row, then the fit on the ``SAMPLE`` rows of either class whose ids hash lowest.
-
-    Without labelled rows of both classes nothing can be told: every text gets the share of toxic rows as its score.
-    """
-    rows = written(labelled(documents, labels), "toxicity-rows")
+def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+    """Without labelled documents of both classes nothing can be told: every text gets the share of toxic labels, smoothed."""
+    rows, all_ = labelled(documents, labels, sample)
     counts, docs = bucket_counts(rows)
     ratios = log_ratios(counts, docs)
     chosen = telling(counts, docs, ratios)
@@ -151,20 +160,18 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
             found = [np.searchsorted(chosen, buckets_of(t, only)).astype(np.int32) for t in piece.column(0).to_pylist()]
             yield batch(schema, piece.column(1), found)
 
-    sample = [rows.where(F.col("_toxic") > 0 if mark else F.col("_toxic") <= 0).orderBy(F.xxhash64("_id"), "_id", F.xxhash64("_text")).limit(SAMPLE)
-              for mark in (0, 1)]
-    table = sample[0].union(sample[1]).select("_text", "_toxic").mapInArrow(run, "toxic int, features array<int>").toArrow()
+    table = rows.select("_text", "_toxic").repartition(TASKS).mapInArrow(run, "toxic int, features array<int>").toArrow()
     lists = table.column("features").combine_chunks()
     ends = lists.offsets.to_numpy()
     flat = lists.values.to_numpy()
     fitted = [(flat[a:b], int(mark > 0)) for a, b, mark in zip(ends[:-1], ends[1:], table.column("toxic").to_pylist())]
-    shares = docs / max(docs.sum(), 1)
+    shares = (all_ + 1e-3) / (all_.sum() + 2e-3)
     weights = np.zeros(BUCKETS, np.float32)
     own, bias = fit(fitted, ratios[chosen], shares)
     if docs.min() > 0:
         weights[chosen] = own
     else:
-        bias = float(np.log((shares[1] + 1e-6) / (1 - shares[1] + 1e-6)))
+        bias = float(np.log(shares[1] / shares[0]))
     return Model(weights, bias)
 
 
