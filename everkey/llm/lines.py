@@ -226,7 +226,8 @@ def deduplicated(documents: DataFrame, least: int = MIN_WORDS, details: bool = F
     columns = documents.columns
     gone = written(blocks(documents, least), "lines-gone").select(F.col("_id").alias("_i"), F.col("_tie").alias("_t"), "gone")
     keyed = _keyed(documents)
-    found = keyed.join(gone, keyed["_id"].eqNullSafe(gone["_i"]) & (keyed["_tie"] == gone["_t"]), "left")
+    # A merge join at every size: what is deleted grows with the documents, so it is never sent to all tasks.
+    found = keyed.join(gone.hint("merge"), keyed["_id"].eqNullSafe(gone["_i"]) & (keyed["_tie"] == gone["_t"]), "left")
     rows = F.split("text", "\n", -1)
     stays = F.transform(F.filter(F.transform(rows, lambda x, i: F.struct(x.alias("x"), i.alias("i"))),
                                  lambda s: ~F.exists("gone", lambda g: (g["first"] <= s["i"]) & (s["i"] < g["end"]))), lambda s: s["x"])

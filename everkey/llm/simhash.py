@@ -246,6 +246,6 @@ def one_of_each(documents: DataFrame, distance: int = DISTANCE) -> DataFrame:
     key = F.xxhash64(F.coalesce("text", F.lit("")))
     named = documents.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1) - F.pmod(key, F.lit(1 << 61))))
     groups = near_duplicates(named.select("_id", "text"), distance, id="_id").select(F.col("component_id").alias("_c")).distinct()
-    kept = named.join(groups, F.col("_id") == F.col("_c"), "left_semi")
+    kept = named.join(groups.hint("merge"), F.col("_id") == F.col("_c"), "left_semi")
     first = Window.partitionBy("_id").orderBy(key)
     return kept.withColumn("_place", F.row_number().over(first)).where("_place = 1").select(*columns)
