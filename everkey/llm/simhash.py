@@ -3,8 +3,8 @@
 Fingerprints are grouped by value; only distinct ones are compared.  Their 64 bits are dealt into partitions, correlated
 bits together, and each partition gets a threshold of its own.  If the thresholds plus one add up to the distance plus
 one, any two fingerprints within the distance are within the threshold in some partition.  The thresholds are those that a
-dynamic programme finds cheapest by the expected numbers of probes and candidates, over two to five partitions; with
-few fingerprints it takes more and narrower partitions, with many it takes wide ones, whose candidates grow slower.
+dynamic programme finds cheapest by the expected numbers of probes and candidates, over two to five partitions: narrow
+partitions need few probes, wide ones have candidates whose number grows slower.
 
 A threshold t is probed from both sides: one side takes the values within t // 2 of its own, the other those within the
 rest, and they meet half way.  So a partition of 32 bits needs 33 probes for threshold 2, where one-sided probing needs
@@ -38,6 +38,8 @@ SEED = 42
 CROWD = 256
 #: Cost of a chance meeting of two fingerprints at a probe value, in probes.
 MEETING = 4.0
+#: Fewer fingerprints are planned as if they were this many, so that the plan does not turn over as they grow.
+PLANNED = 1 << 20
 #: Shingles hashed at a time, so that a very long text needs little memory.
 SLICE = 1 << 16
 
@@ -136,6 +138,7 @@ def ball(width: int, radius: int) -> int:
 def allocate(n: int, both: np.ndarray, distance: int = DISTANCE) -> list[tuple[list[int], int]]:
     """(bits, threshold) of each partition that is probed.  Thresholds plus one add up to the distance plus one."""
     corr, p = correlations(n, both), np.diag(both) / max(n, 1)
+    n = max(n, PLANNED)
     best, chosen = None, None
     for parts in range(2, 6):
         groups = grouped_bits(corr, parts)
