@@ -19,12 +19,12 @@ from everkey.session import local_session
 
 HEADLINE = [
     "resolve_keys", "migrate_keys", "resolve_names", "variant_detail", "entity_bundle", "search_variants",
-    "set_contents", "coverage_check",
+    "set_contents", "coverage_check", "entity_bundle_variants",
     "canon_text", "parse_key", "flatten_variants", "duplicate_keys", "apply_corrections_variants",
     "plan_entity_renames", "plan_entity_cases", "plan_variant_renames", "plan_ownership_veto",
     "next_variants", "scd2_history", "initial_load", "build_history",
     "published_entities", "variants_named", "set_catalogue", "table_digest",
-    "check_open_keys", "check_key_ownership", "check_write_rules",
+    "check_open_keys", "check_key_ownership", "check_write_rules", "check_published", "check_links", "violations",
 ]
 
 

@@ -97,15 +97,15 @@ def format_ids(spark, sf_dir):
 
 
 @add("normalise_ids", """WITH spelled AS (SELECT l_orderkey AS n, CASE l_orderkey % 7 WHEN 0 THEN printf('C%06d', l_orderkey) WHEN 1 THEN printf('p%d', l_orderkey)
-  WHEN 2 THEN l_orderkey::VARCHAR WHEN 3 THEN printf('%09d', l_orderkey) WHEN 4 THEN 'X' || l_orderkey WHEN 5 THEN 'C' ELSE l_orderkey || ' ' END AS spelling
+  WHEN 2 THEN l_orderkey::VARCHAR WHEN 3 THEN printf('%09d', l_orderkey) WHEN 4 THEN 'X' || l_orderkey WHEN 5 THEN 'C' ELSE chr(9) || l_orderkey || ' ' END AS spelling
   FROM lineitem)
-SELECT spelling, CASE WHEN n % 7 < 4 THEN printf('C%06d', n) END AS codex_id,
-  CASE WHEN n % 7 < 4 THEN printf('P%06d', n) END AS printing_id, n % 7 < 4 AS valid FROM spelled""")
+SELECT spelling, CASE WHEN good THEN printf('C%06d', n) END AS codex_id, CASE WHEN good THEN printf('P%06d', n) END AS printing_id, good AS valid
+FROM (SELECT *, n % 7 NOT IN (4, 5) AS good FROM spelled)""")
 def normalise_ids(spark, sf_dir):
     number = F.col("l_orderkey")
     spelling = F.element_at(F.array(
         F.format_string("C%06d", number), F.format_string("p%d", number), number.cast("string"), F.format_string("%09d", number),
-        F.concat(F.lit("X"), number), F.lit("C"), F.concat(number, F.lit(" "))), (number % 7 + 1).cast("int"))
+        F.concat(F.lit("X"), number), F.lit("C"), F.concat(F.lit("\t"), number, F.lit(" "))), (number % 7 + 1).cast("int"))
     spelled = w.table(spark, sf_dir, "lineitem").select(spelling.alias("spelling"))
     return spelled.select(
         "spelling", keys.normal_entity_ref(F.col("spelling")).alias("codex_id"),

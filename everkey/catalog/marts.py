@@ -7,25 +7,21 @@ from pyspark.sql import functions as F
 from ..operators import digest, marts as m
 from ..plans import workload as w
 from ..plans.oracle import state_sql
-from ..schemas import ENTITY_FIELDS, SCHEMA_VERSION, STATE_VARIANTS, VARIANT_FIELDS
+from ..operators.apply import ENTITY_COUNTER, VARIANT_COUNTER
+from ..schemas import ENTITY_FIELDS, SCHEMA_VERSION, STATE_TABLES, VARIANT_FIELDS
 from ..sources.published import normal_entities, normal_key_history, normal_variants
 from . import Catalog
 
 catalog = Catalog()
 add = catalog.add
 
-# Variants in pages of at most 10,000 per entity, as one SQL table.
-PAGED = """(SELECT *, CASE WHEN count(*) OVER (PARTITION BY entity_id) > 10000 THEN variant_id // 10000 ELSE 0 END AS page
-  FROM r_variants)"""
-LISTS = f"""SELECT entity_id, page, string_agg(printf('P%06d', variant_id), ',' ORDER BY variant_id) AS printing_ids
-  FROM {PAGED} GROUP BY entity_id, page"""
-SETS = """SELECT entity_id, string_agg(set_number, ',' ORDER BY set_number) AS set_numbers
-  FROM (SELECT DISTINCT entity_id, set_number FROM r_variants WHERE set_number IS NOT NULL) GROUP BY entity_id"""
+LINKS = "SELECT printf('C%06d', entity_id) AS codex_id, printf('P%06d', variant_id) AS printing_id FROM r_variants"
+SETS = "SELECT DISTINCT printf('C%06d', entity_id) AS codex_id, set_number FROM r_variants WHERE set_number IS NOT NULL"
 VARIANTS = f"""SELECT printf('P%06d', variant_id) AS printing_id, printf('C%06d', entity_id) AS codex_id, e.name AS card_name,
   {', '.join('v.' + f for f in VARIANT_FIELDS)}, v.retired_at FROM r_variants v JOIN r_entities e USING (entity_id)"""
-ENTITIES = f"""SELECT printf('C%06d', e.entity_id) AS codex_id, coalesce(l.page, 0) AS page, {', '.join('e.' + f for f in ENTITY_FIELDS)},
-  starts_with(rules_text, 'UPDATED') AS errata, coalesce(s.set_numbers, '') AS set_numbers, coalesce(l.printing_ids, '') AS printing_ids
-FROM r_entities e LEFT JOIN ({LISTS}) l USING (entity_id) LEFT JOIN ({SETS}) s ON s.entity_id = e.entity_id AND coalesce(l.page, 0) = 0"""
+ENTITIES = f"""SELECT printf('C%06d', e.entity_id) AS codex_id, {', '.join('e.' + f for f in ENTITY_FIELDS)},
+  starts_with(rules_text, 'UPDATED') AS errata, coalesce(n.sets, 0) AS sets, coalesce(n.printings, 0) AS printings
+FROM r_entities e LEFT JOIN (SELECT entity_id, count(DISTINCT set_number) AS sets, count(*) AS printings FROM r_variants GROUP BY entity_id) n USING (entity_id)"""
 
 
 @add("variants_named", state_sql(VARIANTS))
@@ -34,21 +30,20 @@ def variants_named(spark, sf_dir):
     return m.published_variants(state.entities, state.variants)
 
 
-@add("variants_per_entity", state_sql(f"SELECT printf('C%06d', entity_id) AS codex_id, page, printing_ids FROM ({LISTS})"))
+@add("variants_per_entity", state_sql(LINKS))
 def variants_per_entity(spark, sf_dir):
-    return m.variants_per_entity(w.state(spark, sf_dir).variants).withColumn("printing_ids", F.array_join("printing_ids", ","))
+    return m.variants_per_entity(w.state(spark, sf_dir).variants)
 
 
-@add("sets_per_entity", state_sql(f"SELECT printf('C%06d', entity_id) AS codex_id, 0::BIGINT AS page, set_numbers FROM ({SETS})"))
+@add("sets_per_entity", state_sql(SETS))
 def sets_per_entity(spark, sf_dir):
-    return m.sets_per_entity(w.state(spark, sf_dir).variants).withColumn("set_numbers", F.array_join("set_numbers", ","))
+    return m.sets_per_entity(w.state(spark, sf_dir).variants)
 
 
 @add("published_entities", state_sql(ENTITIES))
 def published_entities(spark, sf_dir):
     state = w.state(spark, sf_dir)
-    lists = {c: F.array_join(c, ",") for c in ("set_numbers", "printing_ids")}
-    return m.published_entities(state.entities, state.variants).withColumns(lists)
+    return m.published_entities(state.entities, state.variants)
 
 
 # Set 013 has lost its number here, so null is a set of its own.
@@ -124,17 +119,34 @@ def _digest_sql(section: str, source: str, columns: list[str]) -> str:
 FROM (SELECT {row} AS h FROM {source})"""
 
 
-DIGESTED = {"variants": STATE_VARIANTS.names, "key_history": ["slug", "variant_id", "valid_from", "valid_to"]}
+# All five tables of the state.
+DIGESTED = {name: schema.names for name, schema in STATE_TABLES.items()}
+DIGEST_SOURCES = {"entities": "r_entities", "variants": "r_variants", "counters": f"""(SELECT 'schema_version' AS name, {SCHEMA_VERSION}::BIGINT AS value
+  UNION ALL SELECT '{ENTITY_COUNTER}', (SELECT max(p_partkey) + 2 FROM part) UNION ALL SELECT '{VARIANT_COUNTER}', (SELECT count(*) + 1 FROM r_variants))"""}
 
 
-@add("table_digest", state_sql(" UNION ALL ".join(
-    _digest_sql(name, {"variants": "r_variants"}.get(name, name), columns) for name, columns in DIGESTED.items())))
+@add("table_digest", state_sql(" UNION ALL ".join(_digest_sql(name, DIGEST_SOURCES.get(name, name), columns) for name, columns in DIGESTED.items())))
 def table_digest(spark, sf_dir):
     state = w.state(spark, sf_dir)
     return digest.section_digests({name: getattr(state, name).select(columns) for name, columns in DIGESTED.items()})
 
 
-@add("manifest")
+SECTIONS = {
+    "sets": (CATALOGUE.replace(UNNUMBERED, "r_variants"), ["set_number", "set_name", "released_at", "cards", "printings"]),
+    "cards": (ENTITIES, ["codex_id", *ENTITY_FIELDS, "errata", "sets", "printings"]),
+    "printings": (VARIANTS, ["printing_id", "codex_id", "card_name", *VARIANT_FIELDS, "retired_at"]),
+    "slug_history": ("SELECT slug, printf('P%06d', variant_id) AS printing_id, valid_from, valid_to FROM key_history", ["slug", "printing_id", "valid_from", "valid_to"]),
+    "name_history": ("SELECT name, printf('C%06d', entity_id) AS codex_id, valid_from, valid_to FROM name_history", ["name", "codex_id", "valid_from", "valid_to"]),
+}
+
+
+@add("manifest", state_sql(f"""SELECT 'v1' AS dataset_version, {SCHEMA_VERSION} AS schema_version, section, rows, digest, h.counted, true AS agrees
+FROM ({" UNION ALL ".join(_digest_sql(name, f"({source})", columns) for name, (source, columns) in SECTIONS.items())})
+JOIN (UNPIVOT (SELECT {COUNTS}) ON sets, cards, printings, slug_history, name_history INTO NAME section VALUE counted) h USING (section)"""))
 def manifest(spark, sf_dir):
-    """Digests of the data files themselves; SQL cannot see them."""
-    return digest.manifest(digest.file_digests(spark, sf_dir), "v1", SCHEMA_VERSION)
+    """Published sections, written and read back, with their digests, the header's counts and what was stated beside them."""
+    state = w.state(spark, sf_dir)
+    published = w.published(spark, sf_dir)
+    stated = digest.section_digests({name: df for name, df in m.sections(state, "test tables").items() if name in SECTIONS})
+    found = digest.section_digests({name: df for name, df in published.items() if name in SECTIONS})
+    return digest.manifest(found, published["header"], "v1", SCHEMA_VERSION, stated)

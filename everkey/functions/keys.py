@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from .text import stripped
+
 # The shape of a variant key (set number, name, product, finish)
 # and of a published id.
 KEY_PATTERN = r"(?d)^(\p{Nd}+)-(.+)-([a-z_]+)-([a-z]+)$"
@@ -34,8 +36,8 @@ def variant_ref(number: Column) -> Column:
 
 
 def id_number(spelling: Column) -> Column:
-    """The integer in any spelling of an id; null when it is not one."""
-    return F.nullif(F.regexp_extract(spelling.cast("string"), ID_PATTERN, 1), F.lit("")).try_cast("bigint")
+    """The integer in any spelling of an id, blanks around it or not; null when it is not one."""
+    return F.nullif(F.regexp_extract(stripped(spelling.cast("string")), ID_PATTERN, 1), F.lit("")).try_cast("bigint")
 
 
 def normal_entity_ref(spelling: Column) -> Column:

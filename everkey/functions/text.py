@@ -16,6 +16,14 @@ _UNCLEAN = rf"(?U)\r|[{_SPACE}](?=\n|\z)|\A[{_SPACE}]"
 
 ERRATA_PREFIX = "UPDATED"
 
+# Fixed value: the white space that goes from both ends of ids, sets and products.
+STRIPPED = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+            "\u2028\u2029\u202f\u205f\u3000")
+
+
+def stripped(text: Column) -> Column:
+    return F.btrim(text, F.lit(STRIPPED))
+
 
 def nfc(text: Column) -> Column:
     """Unicode NFC by the ICU library Spark brings along, so no row leaves the JVM."""
@@ -56,7 +64,7 @@ def same_text(column: Column, wanted: str | Column) -> Column:
 
 
 def product_code(column: str | Column) -> Column:
-    return F.replace(F.lower(F.trim(F.coalesce(_lit(column), F.lit("")))), F.lit(" "), F.lit("_"))
+    return F.replace(F.lower(stripped(F.coalesce(_lit(column), F.lit("")))), F.lit(" "), F.lit("_"))
 
 
 def same_product(column: Column, wanted: str | Column) -> Column:
@@ -64,25 +72,27 @@ def same_product(column: Column, wanted: str | Column) -> Column:
 
 
 def is_set_number(wanted: Column) -> Column:
-    return F.trim(wanted).rlike("^[0-9]+$")
+    return stripped(wanted).rlike("^[0-9]+$")
 
 
 def set_number_of(wanted: Column) -> Column:
     """A wanted set spelled in digits, padded to three; null when it is a name."""
-    text = F.trim(wanted)
+    text = stripped(wanted)
     padded = F.when(F.length(text) < 3, F.lpad(text, 3, "0")).otherwise(text)
     return F.when(is_set_number(wanted), padded)
 
 
 def set_name_of(wanted: Column) -> Column:
     """A wanted set spelled as a name, lower-cased; null when it is a number."""
-    return F.when(~is_set_number(wanted), F.lower(F.trim(wanted)))
+    return F.when(~is_set_number(wanted), F.lower(stripped(wanted)))
 
 
-def in_set(set_number: Column, set_name: Column, wanted: str | Column) -> Column:
-    wanted = _lit(wanted)
-    return F.when(is_set_number(wanted), F.coalesce(set_number == set_number_of(wanted), F.lit(False))) \
-        .otherwise(F.lower(F.coalesce(set_name, F.lit(""))) == F.lower(F.trim(wanted)))
+def in_wanted_set(set_number: Column, set_name: Column, wanted: str | int) -> Column:
+    """The filter for one wanted set.  A number gives a bare equality, which scans can use to skip rows."""
+    text = str(wanted).strip()
+    if text.isdecimal() and text.isascii():
+        return set_number == F.lit(text.zfill(3))
+    return F.lower(F.coalesce(set_name, F.lit(""))) == F.lower(F.lit(text))
 
 
 def _lit(value: str | Column) -> Column:

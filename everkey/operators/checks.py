@@ -9,12 +9,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.joins import distinct_keys
-from ..functions.keys import id_number
 from ..schemas import SCHEMA_VERSION, THRESHOLD_FIELDS
 from .apply import ENTITY_COUNTER, VARIANT_COUNTER, VERSION_ROW, State, counter
 from .lookup import key_claims
-from .marts import published_entities, sections
+from .apply import empty_state
+from .digest import row_digest
+from .marts import sections
 
 
 def _violation(rows: DataFrame, check: str, key: Column, detail: Column | str) -> DataFrame:
@@ -45,12 +45,13 @@ def check_foreign_keys(state: State) -> DataFrame:
 
 
 def check_counters(state: State) -> DataFrame:
-    """An id at or above its counter was not handed out by the counter."""
+    """An id at or above its counter was not handed out by the counter.  A counter that is lost or null is one, too."""
     def above(table: DataFrame, column: str, name: str) -> DataFrame:
         top = table.agg(F.coalesce(F.max(column), F.lit(0)).alias("top")) \
             .withColumn("next", counter(state.counters, name))
-        return _violation(top.where("top >= next"), "counter", F.lit(name),
-                          F.concat_ws(" ", F.lit("highest id"), F.col("top"), F.lit("next"), F.col("next")))
+        said = F.coalesce(F.col("next").cast("string"), F.lit("missing"))
+        return _violation(top.where("next is null or top >= next"), "counter", F.lit(name),
+                          F.concat_ws(" ", F.lit("highest id"), F.col("top"), F.lit("next"), said))
 
     return above(state.entities, "entity_id", ENTITY_COUNTER).unionByName(
         above(state.variants, "variant_id", VARIANT_COUNTER))
@@ -85,11 +86,19 @@ def check_key_ownership(history: DataFrame, variants: DataFrame) -> DataFrame:
 
 
 def check_published(published: DataFrame, derived: DataFrame, key: str, section: str) -> DataFrame:
-    """Published rows must be exactly what the state gives, copies included."""
-    derived = derived.select(published.columns)
-    extra = published.exceptAll(derived).select(F.col(key), F.lit("published but not derived").alias("detail"))
-    absent = derived.exceptAll(published).select(F.col(key), F.lit("derived but not published").alias("detail"))
-    return _violation(extra.unionByName(absent), f"published:{section}", F.col(key), F.col("detail"))
+    """Published rows must be exactly what the state gives, copies included.
+
+    Either side is reduced to key and digest of the row; one sum over signs shows what is left on one of them.
+    """
+    columns = [c for c in derived.columns if c in published.columns]
+
+    def signed(rows: DataFrame, sign: int) -> DataFrame:
+        return rows.select(F.col(key).cast("string").alias("_key"), row_digest(columns).alias("_row"), F.lit(sign).alias("_sign"))
+
+    left = signed(published, 1).unionByName(signed(derived, -1)).groupBy("_key", "_row").agg(F.sum("_sign").alias("n")).where("n <> 0")
+    detail = F.when(F.col("n") > 0, "published but not derived").otherwise("derived but not published")
+    each = left.select("_key", F.explode(F.array_repeat(detail, F.abs("n").cast("int"))).alias("detail"))
+    return _violation(each, f"published:{section}", F.col("_key"), F.col("detail"))
 
 
 # The patterns published rows must match.  Ids are at least six
@@ -120,8 +129,7 @@ def entity_rules() -> dict[str, Column]:
     return {
         "codex_id": _matches("codex_id", ENTITY_REF_PATTERN),
         "name": _present("name"), "rules_text": _present("rules_text"), "errata": _present("errata"),
-        "set_numbers": _present("set_numbers") & F.forall("set_numbers", lambda n: n.rlike(SET_NUMBER_PATTERN)),
-        "printing_ids": _present("printing_ids") & F.forall("printing_ids", lambda p: p.rlike(VARIANT_REF_PATTERN)),
+        "sets": _not_negative("sets"), "printings": _not_negative("printings"),
     } | {t: _not_negative(t) for t in THRESHOLD_FIELDS}
 
 
@@ -151,6 +159,18 @@ def set_rules() -> dict[str, Column]:
     }
 
 
+def link_rules() -> dict[str, dict[str, Column]]:
+    return {
+        "card_printings": {"codex_id": _matches("codex_id", ENTITY_REF_PATTERN), "printing_id": _matches("printing_id", VARIANT_REF_PATTERN)},
+        "card_sets": {"codex_id": _matches("codex_id", ENTITY_REF_PATTERN), "set_number": _matches("set_number", SET_NUMBER_PATTERN)},
+    }
+
+
+def header_rules() -> dict[str, Column]:
+    return {"schema_version": F.coalesce(F.col("schema_version") == SCHEMA_VERSION, F.lit(False)), "source": _present("source")} | {
+        c: _not_negative(c) for c in ("sets", "cards", "printings", "slug_history", "name_history")}
+
+
 def broken_rules(rows: DataFrame, key: str, rules: dict[str, Column], section: str) -> DataFrame:
     failed = F.array_compact(F.array(*[F.when(~rule, F.lit(name)) for name, rule in rules.items()]))
     return _violation(rows.select(F.col(key).alias("_key"), F.explode(failed).alias("rule")), f"schema:{section}",
@@ -173,23 +193,26 @@ def check_schema(published: dict[str, DataFrame]) -> DataFrame:
                      history_rules("printing_id", VARIANT_REF_PATTERN, "slug"), "slug_history"),
         broken_rules(published["name_history"], "codex_id",
                      history_rules("codex_id", ENTITY_REF_PATTERN, "name"), "name_history"),
+        *[broken_rules(published[name], "codex_id", rules, name) for name, rules in link_rules().items()],
+        broken_rules(published["header"], "source", header_rules(), "header"),
     ])
 
 
-def check_links(entities: DataFrame, variants: DataFrame) -> DataFrame:
-    """Both directions of the published link agree, and the lists are in id order."""
-    listed = entities.select("codex_id", F.explode("printing_ids").alias("printing_id"))
-    actual = variants.select("codex_id", "printing_id")
-    both = ["codex_id", "printing_id"]
-    numbers = F.transform("printing_ids", lambda p: id_number(p))
-    unsorted = entities.where(numbers != F.sort_array(numbers))
-    return _all([
-        _violation(listed.join(actual, both, "left_anti"), "link", F.col("codex_id"),
-                   F.concat(F.lit("lists "), F.col("printing_id"))),
-        _violation(actual.join(listed, both, "left_anti"), "link", F.col("codex_id"),
-                   F.concat(F.lit("does not list "), F.col("printing_id"))),
-        _violation(unsorted, "link", F.col("codex_id"), "list out of order"),
-    ])
+def check_columns(published: dict[str, DataFrame]) -> DataFrame:
+    """Every section has exactly the columns and types of the published schema; one look at each table's own schema."""
+    spark = published["header"].sparkSession
+    wanted = {name: dict(df.dtypes) for name, df in sections(empty_state(spark), "").items()}
+    wrong = [(name, text) for name in wanted for text in column_types(published[name], wanted[name], name)]
+    return spark.createDataFrame([(f"columns:{name}", name, text) for name, text in wrong], "check string, key string, detail string")
+
+
+def check_links(links: DataFrame, variants: DataFrame) -> DataFrame:
+    """Both directions of the published link agree: one pass over the pairs of either."""
+    listed = links.select("codex_id", "printing_id", F.lit(1).alias("listed"), F.lit(0).alias("actual"))
+    actual = variants.select("codex_id", "printing_id", F.lit(0).alias("listed"), F.lit(1).alias("actual"))
+    pairs = listed.unionByName(actual).groupBy("codex_id", "printing_id").agg(F.max("listed").alias("listed"), F.max("actual").alias("actual"))
+    text = F.concat(F.when(F.col("listed") == 1, "lists ").otherwise("does not list "), F.col("printing_id"))
+    return _violation(pairs.where("listed <> actual"), "link", F.col("codex_id"), text)
 
 
 # -- against the previous version ------------------------------------------
@@ -204,16 +227,11 @@ def check_lost_variants(old: State, new: State) -> DataFrame:
     return _violation(lost, "lost_variant", F.col("variant_id"), F.col("slug"))
 
 
-def check_lost_links(old: DataFrame, new: DataFrame) -> DataFrame:
-    """An entity's published list may only grow.  Entities that are gone
-    altogether are reported by ``check_lost_entities``."""
-    def links(published: DataFrame) -> DataFrame:
-        return published.select(id_number(F.col("codex_id")).alias("entity_id"), F.explode("printing_ids").alias("p")) \
-            .select("entity_id", id_number(F.col("p")).alias("variant_id"))
-
-    still_there = distinct_keys(new.select(id_number(F.col("codex_id")).alias("entity_id")), "entity_id")
-    lost = links(old).join(links(new), ["entity_id", "variant_id"], "left_anti") \
-        .join(still_there, "entity_id", "left_semi")
+def check_lost_links(old: State, new: State) -> DataFrame:
+    """An entity may only gain variants.  Entities that are gone altogether are reported by ``check_lost_entities``."""
+    both = ["entity_id", "variant_id"]
+    lost = old.variants.select(both).join(new.variants.select(both), both, "left_anti") \
+        .join(new.entities.select("entity_id"), "entity_id", "left_semi")
     return _violation(lost, "lost_link", F.col("entity_id"), F.concat(F.lit("variant "), F.col("variant_id")))
 
 
@@ -233,19 +251,21 @@ def check_unexplained_key_change(old: State, new: State) -> DataFrame:
 
 
 def check_counts(old: State, new: State) -> DataFrame:
-    """No table may have become smaller, and no counter may have gone back."""
+    """No table may have become smaller, and no counter may have gone back, been lost or be null."""
     def size(state: State, table: str) -> Column:
         return getattr(state, table).agg(F.count("*").alias("n")).scalar()
 
-    one = old.counters.where(F.col("name") == VERSION_ROW)
     tables = ["entities", "variants", "key_history", "name_history"]
-    rows = one.select(F.explode(F.array(*[
+    rows = old.counters.sparkSession.range(1).select(F.explode(F.array(*[
         F.struct(F.lit(t).alias("what"), size(old, t).alias("was"), size(new, t).alias("now")) for t in tables
     ])).alias("r")).select("r.*")
     counters = old.counters.select(F.col("name").alias("what"), F.col("value").alias("was")).join(
-        new.counters.select(F.col("name").alias("what"), F.col("value").alias("now")), "what")
-    fallen = rows.unionByName(counters).where("now < was")
-    return _violation(fallen, "count_fell", F.col("what"), F.concat_ws(" -> ", F.col("was"), F.col("now")))
+        new.counters.select(F.col("name").alias("what"), F.col("value").alias("now")), "what", "full_outer")
+    expected = old.counters.sparkSession.createDataFrame([(n,) for n in (VERSION_ROW, ENTITY_COUNTER, VARIANT_COUNTER)], "what string")
+    every = counters.join(expected, "what", "full_outer").select("what", "was", "now")
+    fallen = rows.where("now < was").unionByName(every.where("was is null or now is null or now < was"))
+    said = [F.coalesce(F.col(c).cast("string"), F.lit("missing")) for c in ("was", "now")]
+    return _violation(fallen, "count_fell", F.col("what"), F.concat_ws(" -> ", *said))
 
 
 def check_write_rules(old: State, new: State) -> DataFrame:
@@ -280,20 +300,20 @@ def state_violations(state: State) -> DataFrame:
 
 
 def published_violations(published: dict[str, DataFrame], state: State) -> DataFrame:
-    """``published`` as read back, against what the state gives."""
+    """``published`` as read back, against what the state gives.  The header's source is a free text."""
     derived = sections(state, "")
-    keys = {"cards": "codex_id", "printings": "printing_id", "sets": "set_number", "slug_history": "slug",
-            "name_history": "name"}
+    keys = {"cards": "codex_id", "printings": "printing_id", "sets": "set_number", "slug_history": "slug", "name_history": "name",
+            "card_printings": "codex_id", "card_sets": "codex_id"}
     return _all([
         *[check_published(published[name], derived[name], key, name) for name, key in keys.items()],
-        check_schema(published), check_links(published["cards"], published["printings"]),
+        check_published(published["header"].drop("source"), derived["header"].drop("source"), "schema_version", "header"),
+        check_columns(published), check_schema(published), check_links(published["card_printings"], published["printings"]),
     ])
 
 
 def version_violations(old: State, new: State) -> DataFrame:
     return _all([
         check_lost_entities(old, new), check_lost_variants(old, new), check_moved(old, new),
-        check_lost_links(published_entities(old.entities, old.variants),
-                         published_entities(new.entities, new.variants)),
+        check_lost_links(old, new),
         check_unexplained_key_change(old, new), check_counts(old, new), check_write_rules(old, new),
     ])

@@ -86,6 +86,7 @@ def missing_parts(payload: DataFrame) -> DataFrame:
 
     variants = F.flatten(F.transform("sets", lambda s: s["variants"]))
     rules = {
+        "ordinal": F.col("entity_pos").isNull(),
         "name": F.col("name").isNull(),
         "guardian": F.col("guardian").isNull(),
         "sets": F.col("sets").isNull(),
@@ -102,12 +103,13 @@ def refuse(rows: DataFrame, problem: str) -> None:
     """Stop the run, before anything is written, when there are any such rows."""
     found = rows.limit(5).collect()
     if found:
-        raise FatalInput(f"{problem}: " + "; ".join(str(row.asDict()) for row in found))
+        raise FatalInput(f"{problem} ({rows.count()} in all): " + "; ".join(str(row.asDict()) for row in found))
 
 
 def checked_snapshot(payload: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The flat snapshot, cleaned once and written, or an error."""
     refuse(missing_parts(payload), "payload entry without a required part")
+    refuse(duplicates(payload.select("entity_pos"), "entity_pos"), "payload ordinal occurs more than once")
     entities = written(flatten_entities(payload), "snapshot-entities")
     variants = written(flatten_variants(payload), "snapshot-variants")
     refuse(duplicate_names(entities), "entity name occurs more than once")

@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.keys import entity_ref, id_number, variant_ref
 from ..functions.joins import distinct_keys, grouped, left_join_many
-from ..functions.lists import PAGE_SIZE, paged_lists
 from ..functions.text import (
-    has_text, in_set, is_errata, same_product, same_text, set_name_of, set_number_of,
+    has_text, in_wanted_set, is_errata, same_product, same_text, set_name_of, set_number_of,
 )
 from ..schemas import ENTITY_FIELDS, VARIANT_FIELDS
 from .marts import with_entity_name
@@ -26,12 +25,11 @@ def key_owners(claims: DataFrame) -> DataFrame:
     ).select("slug", "owner_id", (F.col("owner_id") != F.col("other_id")).alias("conflicted"))
 
 
-def key_conflicts(history: DataFrame, variants: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
-    """Contested keys with all their claimants."""
+def key_conflicts(history: DataFrame, variants: DataFrame) -> DataFrame:
+    """Contested keys and their claimants, one row each."""
     claims = key_claims(history, variants)
     contested = key_owners(claims).where("conflicted").select("slug")
-    distinct = claims.join(contested, "slug", "left_semi").distinct()
-    return paged_lists(distinct, ["slug"], F.col("variant_id"), F.col("variant_id"), "variant_ids", page_size)
+    return claims.join(contested, "slug", "left_semi").distinct()
 
 
 def resolve_keys(keys: DataFrame, history: DataFrame, variants: DataFrame, entities: DataFrame) -> DataFrame:
@@ -65,21 +63,25 @@ def resolve_names(names: DataFrame, history: DataFrame) -> DataFrame:
         *names.columns, entity_ref(F.col("entity_id")).alias("codex_id"), "valid_from", "valid_to")
 
 
-def entity_bundle(requests: DataFrame, entities: DataFrame, variants: DataFrame,
-                  page_size: int = PAGE_SIZE) -> DataFrame:
-    """Requested entities (``id`` in any spelling) with all their variants."""
+def entity_bundle(requests: DataFrame, entities: DataFrame, variants: DataFrame) -> DataFrame:
+    """Requested entities (``id`` in any spelling): one row per request, with the number of variants."""
     wanted = requests.withColumn("entity_id", id_number(F.col("id")))
     ids = distinct_keys(wanted, "entity_id")
-    item = F.struct(variant_ref(F.col("variant_id")).alias("printing_id"), "slug", "set_name", "set_number",
-                    "product", "finish", "artist", "retired_at")
-    members = variants.join(ids, "entity_id", "left_semi")
-    lists = paged_lists(members, ["entity_id"], F.col("variant_id"), item, "printings", page_size)
+    counts = grouped(variants.join(ids, "entity_id", "left_semi"), ["entity_id"], F.count("*").alias("printings"))
     found = entities.select("entity_id", *ENTITY_FIELDS, is_errata(F.col("rules_text")).alias("errata"),
                             F.lit(True).alias("found"))
-    return left_join_many(wanted.join(found, "entity_id", "left"), lists, "entity_id", members).select(
+    return wanted.join(found, "entity_id", "left").join(counts, "entity_id", "left").select(
         *requests.columns, F.coalesce("found", F.lit(False)).alias("found"),
         entity_ref(F.col("entity_id")).alias("codex_id"), *ENTITY_FIELDS, "errata",
-        F.coalesce("page", F.lit(0).cast("bigint")).alias("page"), "printings")
+        F.coalesce("printings", F.lit(0).cast("bigint")).alias("printings"))
+
+
+def entity_bundle_variants(requests: DataFrame, variants: DataFrame) -> DataFrame:
+    """The variants of the requested entities, one row for each variant and request."""
+    wanted = requests.withColumn("entity_id", id_number(F.col("id")))
+    return wanted.join(variants, "entity_id").select(
+        *requests.columns, entity_ref(F.col("entity_id")).alias("codex_id"), variant_ref(F.col("variant_id")).alias("printing_id"),
+        "slug", "set_name", "set_number", "product", "finish", "artist", "retired_at")
 
 
 def variant_detail(requests: DataFrame, variants: DataFrame, entities: DataFrame) -> DataFrame:
@@ -92,7 +94,7 @@ def variant_detail(requests: DataFrame, variants: DataFrame, entities: DataFrame
 
 
 def matching_entities(entities: DataFrame, variants: DataFrame, name: str | None = None, type: str | None = None,
-                      element: str | None = None, rarity: str | None = None, card_set: str | None = None,
+                      element: str | None = None, rarity: str | None = None, card_set: str | int | None = None,
                       errata: bool | None = None) -> DataFrame:
     """All entities that pass every given filter; an empty filter is no filter."""
     found = entities.withColumn("errata", is_errata(F.col("rules_text")))
@@ -107,7 +109,7 @@ def matching_entities(entities: DataFrame, variants: DataFrame, name: str | None
     if errata is not None:
         found = found.where(F.col("errata") == errata)
     if card_set:
-        members = variants.where(in_set(F.col("set_number"), F.col("set_name"), card_set.strip()))
+        members = variants.where(in_wanted_set(F.col("set_number"), F.col("set_name"), card_set))
         found = found.join(members.select("entity_id").distinct(), "entity_id", "left_semi")
     return found
 
@@ -126,11 +128,11 @@ def search_entity_totals(entities: DataFrame, variants: DataFrame, limit: int =
 
 
 def matching_variants(variants: DataFrame, entities: DataFrame, name: str | None = None,
-                      card_set: str | None = None, product: str | None = None,
+                      card_set: str | int | None = None, product: str | None = None,
                       finish: str | None = None) -> DataFrame:
     found = variants
     if card_set:
-        found = found.where(in_set(F.col("set_number"), F.col("set_name"), card_set.strip()))
+        found = found.where(in_wanted_set(F.col("set_number"), F.col("set_name"), card_set))
     if product:
         found = found.where(same_product(F.col("product"), product))
     if finish:
@@ -163,14 +165,11 @@ def in_wanted_sets(requests: DataFrame, variants: DataFrame) -> DataFrame:
         named.join(by_name, "_name").select(columns))
 
 
-def set_contents(requests: DataFrame, variants: DataFrame, entities: DataFrame,
-                 page_size: int = PAGE_SIZE) -> DataFrame:
-    """Entities of each wanted set with their variants in it."""
+def set_contents(requests: DataFrame, variants: DataFrame, entities: DataFrame) -> DataFrame:
+    """Variants of each wanted set, one row each, by name of their entity and id."""
     members = in_wanted_sets(requests, variants)
-    lists = paged_lists(members, ["wanted", "entity_id"], F.col("variant_id"), variant_ref(F.col("variant_id")),
-                        "printing_ids", page_size)
-    return lists.join(entities.select("entity_id", "name"), "entity_id").select(
-        "wanted", entity_ref(F.col("entity_id")).alias("codex_id"), "name", "page", "printing_ids")
+    return members.join(entities.select("entity_id", "name"), "entity_id").orderBy("wanted", "name", "entity_id", "variant_id").select(
+        "wanted", entity_ref(F.col("entity_id")).alias("codex_id"), "name", variant_ref(F.col("variant_id")).alias("printing_id"))
 
 
 def set_contents_totals(requests: DataFrame, variants: DataFrame) -> DataFrame:

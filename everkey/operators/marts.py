@@ -7,8 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.keys import entity_ref, variant_ref
-from ..functions.joins import left_join_many
-from ..functions.lists import PAGE_SIZE, paged_lists
+from ..functions.joins import grouped
 from ..functions.text import is_errata
 from ..schemas import ENTITY_FIELDS, SCHEMA_VERSION, VARIANT_FIELDS
 from .apply import State
@@ -21,34 +20,28 @@ def with_entity_name(variants: DataFrame, entities: DataFrame) -> DataFrame:
     return variants.join(entities.select("entity_id", F.col("name").alias("entity_name")), "entity_id")
 
 
-def variants_per_entity(variants: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
-    """Reverse link, in integer order (which six-digit text order equals)."""
-    lists = paged_lists(variants, ["entity_id"], F.col("variant_id"), variant_ref(F.col("variant_id")),
-                        "printing_ids", page_size)
-    return lists.select(entity_ref(F.col("entity_id")).alias("codex_id"), "page", "printing_ids")
+def variants_per_entity(variants: DataFrame) -> DataFrame:
+    """Reverse link: one row for each variant of an entity, however many it has."""
+    return variants.select(entity_ref(F.col("entity_id")).alias("codex_id"), variant_ref(F.col("variant_id")).alias("printing_id"))
 
 
-def sets_per_entity(variants: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+def sets_per_entity(variants: DataFrame) -> DataFrame:
+    """One row for each set an entity has variants in."""
     sets = variants.where("set_number is not null").select("entity_id", "set_number").distinct()
-    number = F.coalesce(F.col("set_number").try_cast("bigint"), F.lit(0))
-    lists = paged_lists(sets, ["entity_id"], number, F.col("set_number"), "set_numbers", page_size,
-                        order=F.col("set_number"))
-    return lists.select(entity_ref(F.col("entity_id")).alias("codex_id"), "page", "set_numbers")
-
-
-def published_entities(entities: DataFrame, variants: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
-    """Entities with the errata flag and both lists, by id and page of the lists."""
-    lists = variants_per_entity(variants, page_size).join(
-        sets_per_entity(variants, page_size), ["codex_id", "page"], "full_outer")
-    empty = F.array().cast("array<string>")
-    plain = entities.select(
-        entity_ref(F.col("entity_id")).alias("codex_id"), *ENTITY_FIELDS, is_errata(F.col("rules_text")).alias("errata"))
-    listed = variants.select(entity_ref(F.col("entity_id")).alias("codex_id"))
-    return left_join_many(plain, lists, "codex_id", listed).select(
-        "codex_id", F.coalesce("page", F.lit(0).cast("bigint")).alias("page"), *ENTITY_FIELDS, "errata",
-        F.coalesce("set_numbers", empty).alias("set_numbers"),
-        F.coalesce("printing_ids", empty).alias("printing_ids"),
-    )
+    return sets.select(entity_ref(F.col("entity_id")).alias("codex_id"), "set_number")
+
+
+def published_entities(entities: DataFrame, variants: DataFrame) -> DataFrame:
+    """One row per entity: its fields, the errata flag, and how many sets and variants it has.
+
+    Variants are counted per entity and set first, so an entity with very many of them is spread over its sets.
+    """
+    pairs = variants.groupBy("entity_id", "set_number").agg(F.count("*").alias("n"))
+    counts = grouped(pairs, ["entity_id"], F.count("set_number").alias("sets"), F.sum("n").alias("printings"))
+    none = F.lit(0).cast("bigint")
+    return entities.join(counts, "entity_id", "left").select(
+        entity_ref(F.col("entity_id")).alias("codex_id"), *ENTITY_FIELDS, is_errata(F.col("rules_text")).alias("errata"),
+        F.coalesce("sets", none).alias("sets"), F.coalesce("printings", none).alias("printings"))
 
 
 def published_variants(entities: DataFrame, variants: DataFrame) -> DataFrame:
@@ -128,6 +121,8 @@ def sections(state: State, source: str) -> dict[str, DataFrame]:
         "printings": published_variants(state.entities, state.variants),
         "slug_history": published_key_history(state.key_history),
         "name_history": published_name_history(state.name_history),
+        "card_printings": variants_per_entity(state.variants),
+        "card_sets": sets_per_entity(state.variants),
     }
 
 
@@ -141,8 +136,10 @@ def section_order() -> dict[str, list[Column]]:
     return {
         "header": [],
         "sets": [F.asc_nulls_last("set_number")],
-        "cards": [*_by_id("codex_id"), F.col("page")],
+        "cards": _by_id("codex_id"),
         "printings": _by_id("printing_id"),
         "slug_history": [*_by_id("printing_id"), F.col("valid_from"), F.col("slug")],
         "name_history": [*_by_id("codex_id"), F.col("valid_from"), F.col("name")],
+        "card_printings": [*_by_id("codex_id"), *_by_id("printing_id")],
+        "card_sets": [*_by_id("codex_id"), F.col("set_number")],
     }

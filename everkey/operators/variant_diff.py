@@ -153,7 +153,7 @@ def classify_variants(entities: DataFrame, variants: DataFrame, history: DataFra
     ).withColumn("unique", (F.col("n_missing") == 1) & (F.col("n_added") == 1))
     # What is left per entity, summed over groups and not over rows.
     left = grouped(groups.where("not unique").withColumn("left_name", F.col("key.entity_name")), ["left_name"],
-                   (F.sum("n_missing") * F.sum("n_added") > 0).alias("both_left"))
+                   ((F.sum("n_missing") > 0) & (F.sum("n_added") > 0)).alias("both_left"))
     groups = groups.join(left, F.col("key.entity_name") == F.col("left_name"), "left").drop("left_name")
 
     unique, is_missing = F.coalesce("unique", F.lit(False)), F.col("side") == MISSING

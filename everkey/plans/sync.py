@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import checks, entity_diff as ed, marts, variant_diff as vd
 from ..operators.apply import State, apply_plan
 from ..operators.corrections import apply_corrections, unmatched_corrections
-from ..operators.digest import section_digests
+from ..operators.digest import disagreements, manifest, section_digests
 from ..operators.flatten import checked_snapshot, refuse
-from ..session import written
+from ..session import tune, written
 from ..sources import store
+from ..schemas import SCHEMA_VERSION
 from .summary import change_counts, is_noop
 
 
@@ -40,15 +41,21 @@ def sync(spark: SparkSession, root: str, payload: DataFrame, as_of: str, correct
          decisions: dict[str, DataFrame] | None = None, dry_run: bool = False, source: str = "") -> Run:
     """Classify a payload against the current state and apply what is certain.
 
-    Cases are written for review and left alone.  The new version is written
-    aside, checked, published, and made current last; whatever fails before that
-    leaves the current version in force.
+    Cases are written for review and left alone; those of an earlier run on the same
+    version are replaced.  The payload is kept beside the new version as it came.  A state
+    with a lost counter or orphaned rows is refused before anything is classified.  The new
+    version is written aside, checked, published, the published tables are read back and
+    checked too, and it is made current last; whatever fails before that leaves the current
+    version in force.
     """
     date.fromisoformat(as_of)
+    tune(spark)
     version = store.current_version(spark, root)
     state = store.read_state(spark, root, version)
     refuse(checks.check_schema_version(state.counters), "state has another schema version")
+    refuse(checks.check_counters(state).unionByName(checks.check_foreign_keys(state)), "the state is not sound")
 
+    payload = written(payload, "payload")  # parsed once
     entities, variants = checked_snapshot(payload)
     unmatched = None
     if corrections is not None:
@@ -60,7 +67,7 @@ def sync(spark: SparkSession, root: str, payload: DataFrame, as_of: str, correct
     found = counts.agg(is_noop(counts).alias("noop"), F.count_if(F.col("class") == "cases").alias("cases")).first()
     has_cases = found["cases"] > 0
     run = f"{root}/runs/base={version}"
-    if has_cases:
+    if has_cases or store.readable(spark, f"{run}/entity_cases"):
         write_cases(entity_plan, variant_plan, run)
     if found["noop"] or dry_run:
         return Run(version, False, has_cases, counts, unmatched)
@@ -68,10 +75,13 @@ def sync(spark: SparkSession, root: str, payload: DataFrame, as_of: str, correct
     after = store.write_state(spark, root, version + 1, apply_plan(state, entity_plan, variant_plan, as_of))
     refuse(checks.state_violations(after).unionByName(checks.version_violations(state, after)),
            "the new version breaks an invariant")
-    publish(after, f"{root}/v={version + 1}/published", source)
+    path = f"{root}/v={version + 1}"
+    payload.write.mode("overwrite").parquet(f"{path}/payload")
+    publish(after, f"{path}/published", source)
+    refuse(published_problems(spark, f"{path}/published", after), "the published tables are not those of the state")
     if decisions:
         for name, table in decisions.items():
-            table.write.mode("overwrite").parquet(f"{root}/v={version + 1}/decisions/{name}")
+            table.write.mode("overwrite").parquet(f"{path}/decisions/{name}")
     store.commit(spark, root, version + 1, as_of)
     return Run(version + 1, True, has_cases, counts, unmatched)
 
@@ -103,17 +113,21 @@ def publish(state: State, path: str, source: str = "") -> None:
     section_digests(back).coalesce(1).write.mode("overwrite").parquet(f"{path}/digests")
 
 
+def published_problems(spark: SparkSession, path: str, state: State) -> DataFrame:
+    """What is wrong with published tables: columns, rules, rows, links, and the manifest."""
+    published = store.read_sections(spark, path, list(marts.section_order()))
+    stated = spark.read.parquet(f"{path}/digests")
+    found = section_digests(published)
+    told = manifest(found, published["header"], "", SCHEMA_VERSION, stated)
+    return checks.published_violations(published, state).unionByName(disagreements(told))
+
+
 def validate(spark: SparkSession, root: str, against: int | None = None) -> DataFrame:
     """Everything that is wrong with the current version, and against an older one."""
+    tune(spark)
     version = store.current_version(spark, root)
     state = store.read_state(spark, root, version)
-    path = f"{root}/v={version}/published"
-    names = ["header", "sets", "cards", "printings", "slug_history", "name_history"]
-    published = store.read_sections(spark, path, names)
-    stated = spark.read.parquet(f"{path}/digests")
-    wrong = section_digests(published).join(stated, ["section", "rows", "digest"], "left_anti").select(
-        F.lit("digest").alias("check"), F.col("section").alias("key"), F.lit("content does not match").alias("detail"))
-    found = checks.state_violations(state).unionByName(checks.published_violations(published, state)).unionByName(wrong)
+    found = checks.state_violations(state).unionByName(published_problems(spark, f"{root}/v={version}/published", state))
     if against is not None:
         found = found.unionByName(checks.version_violations(store.read_state(spark, root, against), state))
     return found

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.slices import number_rows
 from ..operators import entity_diff as ed, variant_diff as vd
 from ..operators.apply import ENTITY_COUNTER, VARIANT_COUNTER, VERSION_ROW, State, apply_plan
+from ..operators.marts import sections
 from ..schemas import (
     ENTITY_FIELDS, INT_FIELDS, KEY_HISTORY, NAME_HISTORY, SCHEMA_VERSION, SNAPSHOT_ENTITIES, SNAPSHOT_VARIANTS,
     STATE_ENTITIES, STATE_VARIANTS,
@@ -394,7 +395,7 @@ def damaged(before: State) -> State:
     stolen = history.where(is_open & (number % 500 == 5)).withColumn("variant_id", number + 1) \
         .withColumn("valid_from", F.lit(CLOSED_FROM)).withColumn("valid_to", F.lit(OPEN_FROM))
     names = before.name_history.where(~(is_open & (F.col("entity_id") % 100 == 3)))
-    counted = before.counters.withColumn(
+    counted = before.counters.where(F.col("name") != ENTITY_COUNTER).withColumn(
         "value", F.when(F.col("name") == VARIANT_COUNTER, 1).when(F.col("name") == VERSION_ROW, 5).otherwise(F.col("value")))
     return State(
         entities=entities.where("entity_id % 90 != 8"), variants=twice,
@@ -404,3 +405,9 @@ def damaged(before: State) -> State:
 def damaged_state(spark: SparkSession, sf_dir: str) -> State:
     return once(spark, sf_dir, ("damaged",), lambda: State(**{
         name: written(df, f"damaged-{name}") for name, df in damaged(state(spark, sf_dir)).tables().items()}))
+
+
+def published(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The published sections of the stored state, each written once."""
+    return once(spark, sf_dir, ("published",), lambda: {
+        name: written(df, f"published-{name}") for name, df in sections(state(spark, sf_dir), "test tables").items()})

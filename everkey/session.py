@@ -15,11 +15,11 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even when that costs one more exchange afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.session.timeZone": "UTC",
 }
 
 
 def tune(spark: SparkSession) -> SparkSession:
+    """Settings that the joins count on, and no others: the session may be somebody else's."""
     for key, value in RUNTIME_SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
@@ -34,6 +34,7 @@ def local_session(cores: int | str = "*", name: str = "everkey", **settings) ->
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in settings.items():
@@ -59,9 +60,8 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores, when the files alone would keep only a few busy."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Rows over as many tasks as a shuffle has, where the files of a small table would keep only a few busy."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

@@ -41,7 +41,20 @@ def write_state(spark: SparkSession, root: str, version: int, state: State) -> S
     return read_state(spark, root, version)
 
 
+def readable(spark: SparkSession, path: str) -> bool:
+    """Whether a table has been written there."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+    return True
+
+
 def commit(spark: SparkSession, root: str, version: int, as_of: str) -> None:
+    if current_version(spark, root) >= version:
+        raise ValueError(f"version {version} has been committed by another run")
     spark.createDataFrame([(version, as_of)], COMMIT).coalesce(1).write.mode("append").parquet(f"{root}/commits")
 
 

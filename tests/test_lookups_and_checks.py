@@ -25,16 +25,15 @@ def test_lookups(spark):
         ("001-owl-b-p", True, None, "P000001", "C000001", "006-owl-b-p", False, None),
         ("006-owl-b-p", True, None, "P000001", "C000001", "006-owl-b-p", True, None),
         ("nope", False, "unknown", None, None, None, None, None), ("torn", False, "conflict", None, None, None, None, None)]
-    assert b.rows(q.key_conflicts(s.key_history, s.variants)) == [("torn", 0, [1, 3])]
-    assert b.rows(q.key_conflicts(s.key_history, s.variants, page_size=1), "page", "variant_ids") == [(1, [1]), (3, [3])]
+    assert b.rows(q.key_conflicts(s.key_history, s.variants)) == [("torn", 1), ("torn", 3)]
     names = spark.createDataFrame([("Kitty",), ("Nobody",)], "name string")
     assert b.rows(q.resolve_names(names, s.name_history), "name", "codex_id") == [("Kitty", "C000001"), ("Kitty", "C000002"), ("Nobody", None)]
 
     ids = spark.createDataFrame([("C000001",), ("p3",), ("99",), ("bad",)], "id string")
     bundle = q.entity_bundle(ids, s.entities, s.variants)
-    assert b.rows(bundle.select("id", "found", "codex_id", "errata", F.col("printings.printing_id").alias("p"))) == [
-        ("99", False, "C000099", None, None), ("C000001", True, "C000001", True, ["P000001", "P000002"]),
-        ("bad", False, None, None, None), ("p3", True, "C000003", False, None)]
+    assert b.rows(bundle.select("id", "found", "codex_id", "errata", "printings")) == [
+        ("99", False, "C000099", None, 0), ("C000001", True, "C000001", True, 2), ("bad", False, None, None, 0), ("p3", True, "C000003", False, 0)]
+    assert b.rows(q.entity_bundle_variants(ids, s.variants), "id", "printing_id") == [("C000001", "P000001"), ("C000001", "P000002")]
     assert b.rows(q.variant_detail(ids, s.variants, s.entities), "id", "found", "card_name") == [
         ("99", False, None), ("C000001", True, "Owl"), ("bad", False, None), ("p3", True, "Cat")]
 
@@ -44,12 +43,16 @@ def test_lookups(spark):
     assert entities() == [("Cat",), ("Lone",), ("Owl",)] and entities(limit=1) == [("Owl",)]
     assert entities(errata=True) == [("Owl",)] and entities(errata=False, name="A") == [("Cat",)]
     assert entities(element="air") == [("Cat",)] and entities(card_set="6") == [("Owl",)] and entities(card_set="alpha") == [("Cat",)]
+    assert entities(card_set=6) == [("Owl",)] and entities(card_set="\t6 ") == [("Owl",)]
+    assert b.rows(q.search_variants(s.variants, s.entities, product="Box Topper\t"), "slug") == [("001-cat-t-p",)]
     assert b.rows(q.search_entity_totals(s.entities, s.variants, limit=2)) == [(3, 2)]
     assert b.rows(q.search_variants(s.variants, s.entities, product="box topper"), "slug") == [("001-cat-t-p",)]
     assert b.rows(q.search_variant_totals(s.variants, s.entities, card_set="006", limit=1)) == [(2, 1, 1)]
     sets = spark.createDataFrame([("6",), ("GOTHIC",), ("7",)], "wanted string")
-    assert b.rows(q.set_contents(sets, s.variants, s.entities), "wanted", "name", "printing_ids") == [
-        ("6", "Owl", ["P000001", "P000002"]), ("GOTHIC", "Owl", ["P000001", "P000002"])]
+    assert b.rows(q.set_contents(sets, s.variants, s.entities), "wanted", "name", "printing_id") == [
+        ("6", "Owl", "P000001"), ("6", "Owl", "P000002"), ("GOTHIC", "Owl", "P000001"), ("GOTHIC", "Owl", "P000002")]
+    named = [r.name for r in q.set_contents(spark.createDataFrame([("odd",), ("alpha",), ("6",)], "wanted string"), s.variants, s.entities).collect()]
+    assert named == ["Owl", "Owl", "Cat", "Cat"]
     assert b.rows(q.set_contents_totals(sets, s.variants)) == [
         ("6", "Gothic", "006", 1, 2), ("7", None, None, 0, 0), ("GOTHIC", "Gothic", "006", 1, 2)]
     needs = spark.createDataFrame([("a", 1, 2), ("a", 2, 1), ("b", 3, 1)], "owner string, entity_id bigint, needed bigint")
@@ -63,9 +66,9 @@ def test_marts_and_digests(spark):
         ("001", "Alpha", "2024-05-05", 1, 1), ("006", "Gothic", "2024-05-05", 1, 2), (None, "Odd", None, 1, 1)]
     assert [r.set_number for r in marts.in_release_order(marts.set_catalogue(s.variants)).collect()] == [None, "001", "006"]
     assert [tuple(r) for r in marts.product_counts(s.variants).collect()] == [("Box", 3), ("Box_Topper", 1)]
-    assert b.rows(marts.published_entities(s.entities, s.variants), "codex_id", "page", "errata", "set_numbers", "printing_ids") == [
-        ("C000001", 0, True, ["006"], ["P000001", "P000002"]), ("C000002", 0, False, ["001"], ["P000003", "P000004"]),
-        ("C000003", 0, False, [], [])]
+    assert b.rows(marts.published_entities(s.entities, s.variants), "codex_id", "errata", "sets", "printings") == [
+        ("C000001", True, 1, 2), ("C000002", False, 1, 2), ("C000003", False, 0, 0)]
+    assert b.rows(marts.sets_per_entity(s.variants)) == [("C000001", "006"), ("C000002", "001")]
     assert b.rows(marts.header(s, "x")) == [(6, "x", 3, 3, 4, 7, 5)]
 
     def seen(df):
@@ -74,9 +77,17 @@ def test_marts_and_digests(spark):
     assert seen(s.variants) == seen(s.variants.repartition(5, "slug"))
     assert seen(s.variants) != seen(s.variants.unionByName(s.variants.where("variant_id = 1")))
     assert seen(s.variants) != seen(s.variants.withColumn("artist", F.lit("")))
-    stated = spark.createDataFrame([("a", "1"), ("b", "x")], "name string, sha256 string")
-    files = spark.createDataFrame([("a", 1, "1"), ("b", 2, "2"), ("c", 3, "3")], "name string, bytes bigint, sha256 string")
-    assert b.rows(digest.manifest(files, "v1", 6, stated), "name", "agrees") == [("a", True), ("b", False), ("c", True)]
+    lists = spark.createDataFrame([(["a,b"],), (["a", "b"],), ([None, "ab"],), (["ab"],), ([],), (None,)], "x array<string>")
+    each = [digest.section_digests({"l": lists.where(lists.x.eqNullSafe(F.lit(None).cast("array<string>")) if r.x is None else lists.x.eqNullSafe(F.array(*map(F.lit, r.x)).cast("array<string>")))}).first().digest
+            for r in lists.collect()]
+    assert len(set(each)) == 6
+    sections = marts.sections(s, "x")
+    found = digest.section_digests({k_: sections[k_] for k_ in ("sets", "cards", "printings")})
+    stated = found.where("section <> 'sets'").withColumn("digest", F.when(F.col("section") == "cards", "other").otherwise(F.col("digest")))
+    told = digest.manifest(found, sections["header"], "v1", 6, stated)
+    assert b.rows(told, "section", "agrees") == [("cards", False), ("printings", True), ("sets", False)]
+    wrong = sections["header"].withColumn("printings", F.col("printings") + 1)
+    assert b.rows(digest.disagreements(digest.manifest(found, wrong, "v1", 6, found)), "key") == [("printings",)]
 
 
 def test_checks(spark):
@@ -97,3 +108,30 @@ def test_checks(spark):
     twice = type(good)(**{**good.tables(), "key_history": history})
     assert b.rows(k.check_write_rules(good, twice), "check", "key") == [
         ("repeated_key_history", f"1 001-owl-b-p {b.DAY0}")]
+
+
+def test_checks_fail_closed(spark):
+    good = b.state(spark, [b.entity("Owl")], [b.variant("001-owl-b-p", "Owl")])
+
+    def counted(change):
+        return type(good)(**{**good.tables(), "counters": change(good.counters)})
+
+    for name in ("next_entity_id", "next_variant_id"):
+        for lost in (counted(lambda c: c.where(F.col("name") != name)), counted(lambda c: c.withColumn("value", F.when(F.col("name") != name, F.col("value"))))):
+            assert b.rows(k.check_counters(lost), "key") == [(name,)]
+            assert (name,) in b.rows(k.check_counts(good, lost), "key") and (name,) in b.rows(k.check_counts(lost, good), "key")
+    bare = counted(lambda c: c.where("name <> 'schema_version'"))
+    assert ("schema_version",) in b.rows(k.check_counts(bare, good), "key") and b.rows(k.check_schema_version(bare.counters)) != []
+    emptied = type(good)(**{**good.tables(), "variants": good.variants.limit(0)})
+    assert ("variants", "1 -> 0") in b.rows(k.check_counts(bare, emptied).unionByName(k.check_counts(good, emptied)), "key", "detail")
+    published = marts.sections(good, "x")
+    for change in (lambda t: t.drop("set_name"), lambda t: t.withColumn("more", F.lit(1)), lambda t: t.withColumn("cards", F.col("cards").cast("string"))):
+        assert k.check_columns(published | {"sets": change(published["sets"])}).count() == 1
+    assert k.check_columns(published).count() == 0
+
+
+def test_a_wanted_set_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "variants")
+    small(spark).variants.write.parquet(path)
+    plan = q.matching_variants(spark.read.parquet(path), small(spark).entities, card_set=6)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(set_number,006)" in plan

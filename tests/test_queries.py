@@ -30,5 +30,5 @@ def test_query(spark, con, name):
         assert df.count() > 0
 
 
-def test_only_files_go_without_sql():
-    assert set(CATALOG.queries) - set(CATALOG.sql) == {"manifest"}
+def test_no_query_goes_without_sql():
+    assert set(CATALOG.queries) == set(CATALOG.sql)

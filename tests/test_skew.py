@@ -56,12 +56,17 @@ def test_a_hot_entity_is_split_in_joins(spark, small_partitions):
     assert "skew=true" in plan
 
 
-def test_published_lists_of_a_hot_entity_stay_whole(spark, small_partitions):
-    pages = marts.variants_per_entity(hot_variants(spark), page_size=1000).collect()
-    assert max(len(p.printing_ids) for p in pages) <= 1000
-    hot = [i for p in sorted((p for p in pages if p.codex_id == "C000001"), key=lambda p: p.page) for i in p.printing_ids]
-    assert hot == [f"P{n:06d}" for n in range(1, ROWS + 1, 3)]
-    assert sum(len(p.printing_ids) for p in pages) == ROWS
+def test_a_hot_entity_is_one_row_and_all_links(spark, small_partitions):
+    """One shape at any size: 25,000 variants of one entity among 75,000."""
+    variants = spark.range(0, 75_000, 1, 8).select(
+        (F.col("id") + 1).alias("variant_id"), F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 50 + 2).alias("entity_id"), F.lit("001").alias("set_number"))
+    own = entities(spark)
+    cards = {r.codex_id: r for r in marts.published_entities(own, variants).collect()}
+    assert len(cards) == own.count() and cards["C000001"].printings == 25_000 and cards["C000001"].sets == 1
+    links = marts.variants_per_entity(variants)
+    assert links.where("codex_id = 'C000001'").count() == 25_000 and links.count() == 75_000
+    asked = spark.createDataFrame([("1",), ("C000001",)], "id string")
+    assert [r.printings for r in q.entity_bundle(asked, own, variants).collect()] == [25_000, 25_000]
 
 
 def test_a_hot_key_in_the_request_is_split(spark, small_partitions):

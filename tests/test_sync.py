@@ -64,3 +64,55 @@ def test_life_of_a_state(spark, tmp_path):
     assert b.rows(state.entities, "entity_id", "name") == [(1, "Owl"), (2, "Tom"), (3, "Wolf")]
     assert sync(spark, root, reworded, b.DAY2).changed is False
     assert b.rows(validate(spark, root, against=1)) == []
+
+
+def test_a_run_refuses_what_is_not_sound(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+    from everkey.operators import marts
+    from everkey.operators.flatten import FatalInput
+    from everkey.plans import sync as run_of
+
+    root = str(tmp_path / "registry")
+    populate(spark, root, first(spark), b.DAY0, source="test")
+    assert spark.read.parquet(f"{root}/v=1/payload").count() == 2
+    for entry in (first(spark).withColumn("entity_pos", F.lit(1).cast("bigint")), first(spark).withColumn("entity_pos", F.lit(None).cast("bigint"))):
+        with pytest.raises(FatalInput, match="ordinal"):
+            sync(spark, root, entry, b.DAY1)
+    # A section that is not what the state gives stops the commit.
+    more = b.payload(spark, [b.entry("Owl", [b.card_set("First", b.piece("001-owl-b-p"), b.piece("001-owl-b-f", finish="Foil"))]),
+                             b.entry("Cat", [b.card_set("First", b.piece("001-cat-b-p"), b.piece("001-cat-b-f", finish="Foil"))])])
+    good = marts.published_variants
+    with monkeypatch.context() as m:
+        real = run_of.publish
+
+        def tampered(state, path, source=""):
+            with monkeypatch.context() as inner:
+                inner.setattr(marts, "published_variants", lambda e, v: good(e, v).withColumn("artist", F.lit("Nobody")))
+                real(state, path, source)
+
+        m.setattr(run_of, "publish", tampered)
+        with pytest.raises(FatalInput, match="published"):
+            sync(spark, root, more, b.DAY1)
+    assert store.current_version(spark, root) == 1
+    # A lost counter stops the run before it allocates.
+    counters = spark.createDataFrame([r for r in store.read_state(spark, root, 1).counters.collect() if r.name != "next_variant_id"], "name string, value bigint")
+    real_read = store.read_state
+    with monkeypatch.context() as m:
+        m.setattr(store, "read_state", lambda *a: type(real_read(*a))(**{**real_read(*a).tables(), "counters": counters}))
+        with pytest.raises(FatalInput, match="not sound"):
+            sync(spark, root, more, b.DAY1)
+    run = sync(spark, root, more, b.DAY1)
+    assert run.version == 2
+    with pytest.raises(ValueError, match="another run"):
+        store.commit(spark, root, 2, b.DAY1)
+
+
+def test_stale_cases_go(spark, tmp_path):
+    root = str(tmp_path / "registry")
+    populate(spark, root, first(spark), b.DAY0)
+    reworded = b.payload(spark, [b.entry("Owl", [b.card_set("First", b.piece("001-owl-b-p"), b.piece("001-owl-b-f", finish="Foil"))]),
+                                 b.entry("Wolf", [b.card_set("First", b.piece("001-wolf-b-p"))])])
+    assert sync(spark, root, reworded, b.DAY1, dry_run=True).has_cases
+    assert spark.read.parquet(f"{root}/runs/base=1/entity_cases").count() > 0
+    assert not sync(spark, root, first(spark), b.DAY1).has_cases
+    assert spark.read.parquet(f"{root}/runs/base=1/entity_cases").count() == 0
