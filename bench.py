@@ -28,8 +28,11 @@ HEADLINE = [
 ]
 
 
-def computed(df) -> None:
+def computed(df) -> int:
+    """Runs the whole query; the number of exchanges in its plan."""
     df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning") + plan.count("Exchange rangepartitioning") + plan.count("Exchange SinglePartition") + plan.count("Exchange RoundRobin")
 
 
 def main() -> None:
@@ -40,7 +43,7 @@ def main() -> None:
     queries = full_catalog().queries
     wanted = sys.argv[1:] or HEADLINE
 
-    times = {}
+    times, exchanges = {}, {}
     start = time.perf_counter()
     for scenario in ("clean", "plain", "coarse"):
         w.state(spark, sf_dir, scenario)
@@ -53,13 +56,13 @@ def main() -> None:
         w.forget("plan")
         w.forget("after")
         start = time.perf_counter()
-        computed(queries[name](spark, sf_dir))
+        exchanges[name] = computed(queries[name](spark, sf_dir))
         times[name] = time.perf_counter() - start
         print(f"{name} {times[name]:.2f}", file=sys.stderr, flush=True)
     spark.stop()
     print(json.dumps({
         "metric": "total wall time of the headline queries", "value": round(sum(times.values()), 3), "unit": "sec",
-        "queries": {name: round(seconds, 3) for name, seconds in times.items()}, "sf": os.path.basename(sf_dir).removeprefix("sf"),
+        "queries": {name: round(seconds, 3) for name, seconds in times.items()}, "exchanges": exchanges, "sf": os.path.basename(sf_dir).removeprefix("sf"),
     }))
 
 

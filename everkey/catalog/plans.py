@@ -299,5 +299,6 @@ SELECT user_id, event_type, epoch_us(ts) AS valid_from,
   epoch_us(lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) AS valid_to FROM changes""")
 def build_history(spark, sf_dir):
     history = history_from_observations(w.table(spark, sf_dir, "events"), "user_id", "event_type", "ts", "event_id")
-    micros = [F.unix_micros(F.col(c).cast("timestamp")).alias(c) for c in ("valid_from", "valid_to")]
+    # The events carry no time zone, and the session's must not matter.
+    micros = [F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', {c})").alias(c) for c in ("valid_from", "valid_to")]
     return history.select("user_id", "event_type", *micros)

@@ -20,7 +20,7 @@ from .summary import change_counts, is_noop
 
 @dataclass(frozen=True)
 class Run:
-    """What a run found; ``version`` is the state in force afterwards."""
+    """What a run found; ``version`` is the state in force afterwards.  A run with cases alone leaves it as it was."""
 
     version: int
     changed: bool
