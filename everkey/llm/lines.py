@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.joins import grouped
 from ..session import written
 from .batches import batch, pieces
+from .shipping import ship
 
 MIN_WORDS = 50
 #: Hash of a line without words; it never matches.
@@ -162,6 +163,7 @@ def common_blocks(earlier: np.ndarray, later: np.ndarray, words: np.ndarray, lea
 
 def hashed(documents: DataFrame, least: int) -> DataFrame:
     """``_id, _text_hash, hashes, words, runs`` for each document with a run."""
+    ship(documents.sparkSession)
     schema = pa.schema([("_id", pa.int64()), ("_tie", pa.int64()), ("hashes", pa.list_(pa.int64())), ("words", pa.list_(pa.int32())), ("runs", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,6 +182,7 @@ def hashed(documents: DataFrame, least: int) -> DataFrame:
 
 def aligned(pairs: DataFrame, least: int) -> DataFrame:
     """``_id, _tie, first, end`` of each block that goes, for pairs of documents with their line hashes."""
+    ship(pairs.sparkSession)
     schema = pa.schema([("_id", pa.int64()), ("_tie", pa.int64()), ("first", pa.int32()), ("end", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

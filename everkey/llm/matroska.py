@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .batches import batch, pieces
+from .shipping import ship
 
 #: Fixed values of the format: element ids.
 EBML, SEGMENT, VOID, CRC = 0x1A45DFA3, 0x18538067, 0xEC, 0xBF
@@ -271,6 +272,7 @@ def _segment(out: Parsed, data: bytes, start: int, limit: int) -> None:
 
 def stored(documents: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     """``doc_id, n_bytes, media``: each whole text as a Matroska file; null texts count as empty."""
+    ship(documents.sparkSession)
     schema = pa.schema([("_id", pa.int64()), ("n_bytes", pa.int64()), ("media", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,6 +289,7 @@ def packets(files: DataFrame, media: str = "media", id: str = "doc_id") -> DataF
     Timestamps are nanoseconds.  ``start`` and ``end`` are the packet's byte range in the file.  A file without packets, a
     null one included, has one row whose packet is null; ``damage`` says where parsing stopped, on the last row.
     """
+    ship(files.sparkSession)
     schema = pa.schema([("_id", pa.int64()), ("packet", pa.int64()), ("track", pa.int64()), ("timestamp", pa.int64()), ("key", pa.bool_()), ("lace", pa.int32()),
                         ("cluster_at", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("damage", pa.string())])
 
@@ -315,6 +318,7 @@ def features(payload: bytes, found: Parsed) -> str:
 def read_back(files: DataFrame, id: str = "doc_id") -> DataFrame:
     """``doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature, damage`` from files
     as :func:`stored` gives them: the payload is put together from the packets' byte ranges."""
+    ship(files.sparkSession)
     schema = pa.schema([("_id", pa.int64()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()),
                         ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string()), ("damage", pa.string())])
 

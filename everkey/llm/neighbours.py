@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import written
 from .batches import batch, pieces
+from .shipping import ship
 
 NEAREST = 10
 TREES = 16
@@ -152,6 +153,7 @@ def search(vectors: DataFrame, wanted: Column, nearest: int = NEAREST, reach: in
     the query's id are the query's own.  An empty table gives no rows; other columns are not touched.
     """
     spark = vectors.sparkSession
+    ship(spark)
     rows = written(usable(vectors, id, vector), "ann-rows")
     index = written(classes(rows, nearest + 1), "ann-classes")
     chosen = index.orderBy(F.xxhash64("_class"), "_class").limit(sample).select("_vector").toArrow()

@@ -30,6 +30,7 @@ from ..functions.joins import grouped
 from ..session import written
 from .batches import batch, pieces
 from .components import components
+from .shipping import ship
 
 DISTANCE = 4
 SHINGLE = 4
@@ -64,6 +65,7 @@ def fingerprint(text: str | None) -> int:
 
 def fingerprints(documents: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     """``_id, _print`` for each row; the fingerprint as a signed 64-bit number."""
+    ship(documents.sparkSession)
     schema = pa.schema([("_id", pa.int64()), ("_print", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,6 +202,7 @@ def links(prints: DataFrame, distance: int = DISTANCE, crowd: int = CROWD) -> Da
     as keep the same fingerprints connected.  ``distance`` must be even."""
     if distance % 2:
         raise ValueError("the distance must be even, so that half of it can be probed from both sides")
+    ship(prints.sparkSession)
     plan = allocate(*bit_counts(prints), distance)
     shared = Window.partitionBy("part", "value")
     met = written(probes(prints, plan).withColumn("n", F.count("*").over(shared)).where("n > 1"), "simhash-met")

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import written
 from .batches import batch, pieces
+from .shipping import ship
 
 ORDERS = (4, 5, 6, 7)
 BUCKETS = 1 << 20
@@ -82,6 +83,7 @@ def labelled(documents: DataFrame, labels: DataFrame, sample: int) -> tuple[Data
 
     Of several labels for an id the highest holds; of several documents with an id the one whose text hashes lowest.
     """
+    ship(documents.sparkSession)
     marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("_toxic"))
     marks = written(marks.where(~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("_id"), "_toxic"), "toxicity-labels")
     all_ = {r["_toxic"]: r["n"] for r in marks.groupBy("_toxic").agg(F.count("*").alias("n")).collect()}
@@ -177,6 +179,7 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
 
 def scored(documents: DataFrame, model: Model, carry: list[str], text: str = "text") -> DataFrame:
     """The columns in ``carry`` and ``_score``.  The model is sent to the executors once."""
+    ship(documents.sparkSession)
     fields = [documents.schema[c] for c in carry]
     sent = documents.sparkSession.sparkContext.broadcast((model.weights, model.bias))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
