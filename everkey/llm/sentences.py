@@ -16,8 +16,9 @@ and remembered (at most twice ``REMEMBERED`` in a worker).  Models are read, nev
 
 from __future__ import annotations
 
+import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -25,10 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .batches import pieces
+from .shipping import ship
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 #: Cost of an unknown character below the lowest score, as the format has it.
 UNKNOWN_PENALTY = 10.0
 
@@ -52,8 +54,9 @@ class Pieces:
         self.scores = {p.piece: p.score for p in normal.values()}
         self.names = [p.piece for p in proto.pieces]
         self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(proto.pieces) if p.type == 6}
-        self.byte_of = {i: b for b, i in self.bytes.items()}
-        self.silent = {i for i, p in enumerate(proto.pieces) if p.type in (2, 3)}
+        #: What an id decodes to.
+        self.shown = ["" if p.type in (2, 3) else bytes([int(p.piece[3:5], 16)]).decode("utf-8", "surrogateescape") if p.type == 6 else p.piece.replace(MARK, " ")
+                      for p in proto.pieces]
         self.unknown = next(i for i, p in enumerate(proto.pieces) if p.type == 2)
         self.floor = min((p.score for p in normal.values()), default=0.0) - UNKNOWN_PENALTY
         self.longest = max(map(len, self.ids), default=1)
@@ -64,8 +67,8 @@ class Pieces:
         self.inside = {x for p in self.ids for x in zip(p, p[1:])}
         self.apart_: dict[int, bool] = {}
         #: Words in use, and those of the time before; a word still in use goes back to the first.
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         if self.merges:
             self.learn_merges()
 
@@ -74,8 +77,8 @@ class Pieces:
         order = {score: i for i, score in enumerate(sorted(set(self.scores.values()), reverse=True))}
         self.place = [0] * len(self.names)
         self.halves: list[tuple[int, int] | None] = [None] * len(self.names)
-        #: The pieces read backwards as a tree; under "" stands the id of the piece that ends the walk there.
-        self.backwards: dict = {}
+        #: The pieces read backwards as a tree of (id of the piece that ends the walk there, nodes that follow).
+        root: dict = {}
         for p, i in self.ids.items():
             self.place[i] = order[self.scores[p]] if len(p) > 1 else -1
             if len(p) > 1:
@@ -84,11 +87,16 @@ class Pieces:
                     self.halves[i] = (self.ids[rest[0]], self.ids[rest[1]])
                 else:
                     continue
-            node = self.backwards
+            node = root
             for c in reversed(p):
                 node = node.setdefault(c, {})
             node[""] = i
 
+        def packed(node: dict) -> tuple[int | None, dict]:
+            return node.get(""), {c: packed(n) for c, n in node.items() if c}
+
+        self.backwards = packed(root)[1]
+
     # ---- which path is best
 
     def merged(self, text: str, until: int = 1) -> list[str]:
@@ -143,17 +151,18 @@ class Pieces:
         for end in range(1, len(text) + 1):
             chosen, best = end - 1, None
             if self.merges:
-                node, begin, found = tree.get(text[end - 1]), end - 1, []
-                while node:
-                    if "" in node:
-                        found.append((begin, node[""]))
+                node, begin, found, best = tree.get(text[end - 1]), end - 1, [], -1
+                while node is not None:
+                    id, longer = node
+                    if id is not None:
+                        found.append((begin, id))
                     begin -= 1
-                    if begin < base:
+                    if begin < base or not longer:
                         break
-                    node = node.get(text[begin])
-                best = -1
+                    node = longer.get(text[begin])
                 # The piece before a candidate is that of its own boundary; the start and unknown characters part all.
-                for begin, id in reversed(found):
+                while found:
+                    begin, id = found.pop()
                     before = last[begin - base]
                     if before < 0 or ((fits := known.get(before * width + id)) is None and self.apart(before, id)) or fits:
                         chosen, best = begin, id
@@ -180,39 +189,40 @@ class Pieces:
                     live.add(begins[newest - base])
                 meeting = live.pop()
                 if (keep := meeting) > base:
-                    yield from self.path(text, begins, base, keep)
+                    yield from self.path(text, begins, last, base, keep)
                     begins, scores, last, base = begins[keep - base:], scores[keep - base:], last[keep - base:], keep
-        yield from self.path(text, begins, base, len(text))
+        yield from self.path(text, begins, last, base, len(text))
 
-    def path(self, text: str, begins: list[int], base: int, end: int) -> list[tuple[str, int]]:
+    def path(self, text: str, begins: list[int], last: list[int], base: int, end: int) -> list[tuple[str, int]]:
         out = []
         while end > base:
             begin = begins[end - base]
             piece = text[begin:end]
-            out.append((piece, self.ids.get(piece, -1)))
+            out.append((piece, last[end - base] if self.merges else self.ids.get(piece, -1)))
             end = begin
         return out[::-1]
 
     # ---- texts
 
-    def encode_word(self, word: str) -> tuple[int, ...]:
-        out: list[int] = []
+    def encode_word(self, word: str) -> bytes:
+        """Ids as 32-bit numbers, one after the other."""
+        out = array("i")
         for piece, id in self.stream(word):
             if id >= 0:
                 out.append(id)
             elif self.bytes:
-                out += [self.bytes[b] for b in piece.encode("utf-8", "surrogatepass")]
+                out.extend([self.bytes[b] for b in piece.encode("utf-8", "surrogatepass")])
             else:
                 out.append(self.unknown)
-        return tuple(out)
+        return out.tobytes()
 
-    def word(self, word: str) -> tuple[int, ...]:
+    def word(self, word: str) -> bytes:
         found = self.words.get(word)
         if found is None:
             if (found := self.older.get(word)) is not None:
                 pass
             elif len(word) > 1 and word[-1] in ".,;:!?" and (word[-2], word[-1]) not in self.inside:
-                found = self.word(word[:-1]) + self.word(word[-1])
+                return self.word(word[:-1]) + self.word(word[-1])
             else:
                 found = self.encode_word(word)
             if len(word) <= 64:
@@ -222,48 +232,27 @@ class Pieces:
                 self.words[word] = found
         return found
 
-    def encode(self, text: str, out: array) -> None:
-        """Appends the ids of a text.  A line break is in no piece, so words end there too."""
+    def parts(self, text: str) -> list[str]:
+        """The words of a text in the model's form.  No path goes over their ends: a word begins with its marks, and a line
+        break, if no piece holds one, is a word of its own."""
+        marked = (MARK if self.prefix else "") + text.replace(" ", MARK)
+        if "\0" in marked:
+            return [marked]
+        marked = marked.replace(MARK, "\0" + MARK)
+        if MARK + "\0" in marked:
+            marked = re.sub(f"{MARK}(?:\0{MARK})+", lambda m: m.group().replace("\0", ""), marked)
+        return (marked if self.line_breaks else marked.replace("\n", "\0\n\0")).split("\0")
+
+    def encode(self, text: str) -> bytes:
         if not text:
-            return
-        words, marks = text.replace(MARK, " ").split(" "), MARK if self.prefix else ""
-        known = self.words
-        for word in words:
-            if word:
-                if "\n" in word and not self.line_breaks:
-                    for k, part in enumerate(word.split("\n")):
-                        if k:
-                            out.append(self.bytes[10]) if self.bytes else out.append(self.unknown)
-                            if part:
-                                out.extend(self.word(part))
-                        elif marks or part:
-                            out.extend(self.word(marks + part))
-                else:
-                    key = marks + word
-                    out.extend(known.get(key) or self.word(key))
-                marks = MARK
-            else:
-                marks += MARK
-        if len(marks) > 1 or not words[-1]:
-            rest = marks[:-1] if marks else ""
-            if rest:
-                out.extend(self.word(rest))
-
-    def decode(self, ids) -> str:
-        out, raw = [], bytearray()
-        for id in ids:
-            byte = self.byte_of.get(id)
-            if byte is not None:
-                raw.append(byte)
-                continue
-            if raw:
-                out.append(raw.decode("utf-8", "replace"))
-                raw.clear()
-            if id not in self.silent:
-                out.append(self.names[id])
-        if raw:
-            out.append(raw.decode("utf-8", "replace"))
-        text = "".join(out).replace(MARK, " ")
+            return b""
+        known, word = self.words, self.word
+        return b"".join([known.get(part) or word(part) for part in self.parts(text) if part])
+
+    def decode(self, ids: Iterable[int]) -> str:
+        """Bytes go through as what stands for them in an escaped text, so whole characters come together again."""
+        raw = "".join(map(self.shown.__getitem__, ids))
+        text = raw.encode("utf-8", "surrogateescape").decode("utf-8", "replace")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
@@ -282,20 +271,17 @@ def encoded(documents: DataFrame, model: str = MODEL, text: str = "text", id: st
     the word mark itself comes back with blanks in its place, as in the library, and so does not.  The model's file is read
     on the driver and sent along.  Repeats get equal ids; an empty table gives no rows; other columns are not touched.
     """
+    ship(documents.sparkSession)
     sent = documents.sparkSession.sparkContext.broadcast(Path(model).read_bytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = ready(sent.value)
         for piece in pieces(batches, 128):
-            flat, offsets, good = array("i"), [0], []
             texts = piece.column(1).to_pylist()
-            for t in texts:
-                start = len(flat)
-                own.encode(t or "", flat)
-                offsets.append(len(flat))
-                good.append(own.decode(flat[start:]) == (t or ""))
-            ends = np.array(offsets, np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(flat, np.int32) if len(flat) else np.zeros(0, np.int32)), mask=pa.array([t is None for t in texts]))
+            ids = [np.frombuffer(own.encode(t or ""), np.int32) for t in texts]
+            good = [own.decode(i.tolist()) == (t or "") for i, t in zip(ids, texts)]
+            ends = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)), mask=pa.array([t is None for t in texts]))
             yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(np.diff(ends).astype(np.int64)), lists, pa.array(good)], names=["_id", "n_tokens", "ids", "round_trip"])
 
     return documents.select(F.col(id).cast("long"), F.col(text)).mapInArrow(run, "_id long, n_tokens long, ids array<int>, round_trip boolean").withColumnRenamed("_id", id)
@@ -303,6 +289,7 @@ def encoded(documents: DataFrame, model: str = MODEL, text: str = "text", id: st
 
 def decoded(rows: DataFrame, model: str = MODEL, ids: str = "ids", id: str = "doc_id") -> DataFrame:
     """``doc_id, text`` from ids; null ids give a null text."""
+    ship(rows.sparkSession)
     sent = rows.sparkSession.sparkContext.broadcast(Path(model).read_bytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -157,9 +157,7 @@ def library(model):
 
 
 def ids_of(own, text):
-    out = array("i")
-    own.encode(text, out)
-    return list(out)
+    return list(array("i", own.encode(text)))
 
 
 @settings(max_examples=300, deadline=None)
