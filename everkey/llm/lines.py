@@ -227,17 +227,20 @@ def deduplicated(documents: DataFrame, least: int = MIN_WORDS, details: bool = F
     stay; an empty table gives no rows.  Equal rows are one document and keep or lose the same lines.
     """
     columns = documents.columns
-    gone = written(blocks(documents, least), "lines-gone").select(F.col("_id").alias("_i"), F.col("_tie").alias("_t"), "gone")
-    keyed = _keyed(documents)
+    gone = written(blocks(documents, least), "lines-gone").select(F.col("_id").alias("_i"), F.col("_tie").alias("_t"), F.col("gone").alias("_gone"))
+    whole = F.struct(*[F.col(c) for c in columns]).alias("_row")
+    keyed = documents.select(whole, F.col("doc_id").cast("long").alias("_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_tie"))
     # A merge join at every size: what is deleted grows with the documents, so it is never sent to all tasks.
-    found = keyed.join(gone.hint("merge"), keyed["_id"].eqNullSafe(gone["_i"]) & (keyed["_tie"] == gone["_t"]), "left")
-    rows = F.split("text", "\n", -1)
+    found = keyed.join(gone.hint("merge"), F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_tie") == F.col("_t")), "left")
+    rows = F.split("_row.text", "\n", -1)
     stays = F.transform(F.filter(F.transform(rows, lambda x, i: F.struct(x.alias("x"), i.alias("i"))),
-                                 lambda s: ~F.exists("gone", lambda g: (g["first"] <= s["i"]) & (s["i"] < g["end"]))), lambda s: s["x"])
-    hit = F.col("gone").isNotNull()
+                                 lambda s: ~F.exists("_gone", lambda g: (g["first"] <= s["i"]) & (s["i"] < g["end"]))), lambda s: s["x"])
+    hit = F.col("_gone").isNotNull()
     found = found.withColumn("_kept", F.when(hit, stays))
-    text = F.when(hit, F.array_join("_kept", "\n")).otherwise(F.col("text"))
-    new = {"text": text} | ({"n_chars": F.when(hit, F.length(F.array_join("_kept", "\n")).cast("long")).otherwise(F.col("n_chars"))} if "n_chars" in columns else {})
-    total = F.coalesce(F.when(F.col("text").isNotNull(), F.size(rows)), F.lit(0))
+    left = F.array_join("_kept", "\n")
+    new = {"text": F.when(hit, left).otherwise(F.col("_row.text"))}
+    if "n_chars" in columns:
+        new["n_chars"] = F.when(hit, F.length(left).cast("long")).otherwise(F.col("_row.n_chars"))
+    total = F.coalesce(F.when(F.col("_row.text").isNotNull(), F.size(rows)), F.lit(0))
     extra = [total.cast("long").alias("n_lines"), F.when(hit, total - F.size("_kept")).otherwise(0).cast("long").alias("n_deleted")] if details else []
-    return found.select(*[new.get(c, F.col(c)).alias(c) for c in columns], *extra)
+    return found.select(*[new.get(c, F.col("_row")[c]).alias(c) for c in columns], *extra)

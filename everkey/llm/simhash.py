@@ -250,8 +250,9 @@ def one_of_each(documents: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """
     columns = documents.columns
     key = F.xxhash64(F.coalesce("text", F.lit("")))
-    named = documents.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1) - F.pmod(key, F.lit(1 << 61))))
-    groups = near_duplicates(named.select("_id", "text"), distance, id="_id").select(F.col("component_id").alias("_c")).distinct()
+    id = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1) - F.pmod(key, F.lit(1 << 61)))
+    named = documents.select(F.struct(*[F.col(c) for c in columns]).alias("_row"), id.alias("_id"), key.alias("_tie"))
+    groups = near_duplicates(named.select("_id", F.col("_row.text").alias("text")), distance, id="_id").select(F.col("component_id").alias("_c")).distinct()
     kept = named.join(groups.hint("merge"), F.col("_id") == F.col("_c"), "left_semi")
-    first = Window.partitionBy("_id").orderBy(key)
-    return kept.withColumn("_place", F.row_number().over(first)).where("_place = 1").select(*columns)
+    first = Window.partitionBy("_id").orderBy("_tie")
+    return kept.withColumn("_place", F.row_number().over(first)).where("_place = 1").select(*[F.col("_row")[c].alias(c) for c in columns])

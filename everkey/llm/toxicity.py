@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..session import written
 from .batches import batch, pieces
@@ -177,22 +177,21 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
     return Model(weights, bias)
 
 
-def scored(documents: DataFrame, model: Model, carry: list[str], text: str = "text") -> DataFrame:
-    """The columns in ``carry`` and ``_score``.  The model is sent to the executors once."""
+def scored(documents: DataFrame, model: Model, carry: list[str]) -> DataFrame:
+    """``_row`` with the columns in ``carry``, and ``_score``.  The model is sent to the executors once."""
     ship(documents.sparkSession)
-    fields = [documents.schema[c] for c in carry]
     sent = documents.sparkSession.sparkContext.broadcast((model.weights, model.bias))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    rows = documents.select(F.coalesce("text", F.lit("")).alias("_text"), F.struct(*[F.col(c) for c in carry]).alias("_row"))
+    schema = T.StructType([rows.schema["_row"], T.StructField("_score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias = sent.value
         only = weights != 0
         for piece in pieces(batches):
             z = np.array([weights[buckets_of(t, only)].sum(dtype=np.float64) + bias for t in piece.column(0).to_pylist()])
-            score = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-            yield pa.RecordBatch.from_arrays([*piece.columns[1:], pa.array(score)], names=[*carry, "_score"])
+            yield pa.RecordBatch.from_arrays([piece.column(1), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], names=["_row", "_score"])
 
-    return documents.select(F.col(text).alias("_text"), *carry).mapInArrow(run, f"{kinds}, _score double")
+    return rows.mapInArrow(run, schema)
 
 
 def score(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -202,11 +201,12 @@ def score(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     equal scores; a null id is not held out.  An empty table gives no rows; other columns are not touched.
     """
     model = train(documents, labels)
-    rows = scored(documents.select("doc_id", "text"), model, ["doc_id"])
-    return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= threshold).cast("int").alias("predicted"))
+    rows = scored(documents, model, ["doc_id"])
+    return rows.select("_row.doc_id", held_out(F.col("_row.doc_id")).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= threshold).cast("int").alias("predicted"))
 
 
 def clean(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``documents`` that score below the threshold, with their columns."""
     columns = documents.columns
-    return scored(documents, train(documents, labels), columns).where(F.col("_score") < threshold).select(*columns)
+    kept = scored(documents, train(documents, labels), columns).where(F.col("_score") < threshold)
+    return kept.select(*[F.col("_row")[c].alias(c) for c in columns])

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from everkey.llm import components, lines, matroska, mixing, neighbours, simhash
 
-EXTRA = ", size long, flip long, a long, first int, n long"
+EXTRA = ", size long, _id long, gone long, _row int, _place long"
 
 
 def docs(spark, rows):

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from everkey.llm import licenses, pii, sentences, toxicity, urls
 
-EXTRA = ", rule string, path string, score double, size long, _id long"
+EXTRA = ", rule string, path string, _score double, _text long, _id long"
 
 
 def docs(spark, rows):
