@@ -42,7 +42,7 @@ def feistel(value: Column, a: Column, b: Column, key: Column, tweak: Column) ->
     def draw(i: Column, half: Column, radix: Column) -> Column:
         return F.conv(F.substr(_digest(key, tweak, i, half), F.lit(1), F.lit(15)), 16, 10).cast("long") % radix
 
-    start = F.struct(((value - value % b) / b).cast("long").alias("l"), (value % b).alias("r"))
+    start = F.struct(F.call_function("div", value, b).alias("l"), (value % b).alias("r"))
     return F.aggregate(
         F.sequence(F.lit(1), F.lit(ROUNDS)), start,
         lambda acc, i: F.when(i % 2 == 1, F.struct(((acc["l"] + draw(i, acc["r"], a)) % a).alias("l"), acc["r"].alias("r")))
