@@ -299,7 +299,7 @@ def payload(spark: SparkSession, sf_dir: str, repeats: bool = False) -> DataFram
 
 
 def nested_orders(spark: SparkSession, sf_dir: str, repeats: bool) -> DataFrame:
-    """Entries built row by row from ``orders``."""
+    """Entries built row by row from ``orders``.  Fixed values: the field names are those of the feed, see ``schemas.PAYLOAD``."""
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("entity_pos"), F.col("o_custkey").alias("c"),
         F.col("o_orderpriority").alias("priority"), F.col("o_orderstatus").alias("status"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The schema version and the field names of the published records.
 SCHEMA_VERSION = 6
 
 STAT_FIELDS = ["cost", "attack", "defence", "life"]

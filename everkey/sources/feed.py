@@ -49,8 +49,10 @@ _DECISION_FILE = (
 
 
 def read_corrections(spark: SparkSession, path: str) -> DataFrame:
-    """One row per corrected column, numbered in list order."""
+    """One row per corrected column, numbered in list order.  The order counts, so it must be one file."""
     rows = spark.read.schema(_CORRECTION_FILE).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    if len(rows.inputFiles()) > 1:
+        raise ValueError("corrections are laid over each other in list order: give one file")
     return rows.select(
         F.monotonically_increasing_id().alias("ord"),
         F.col("match.card_name").alias("name"), F.col("match.set_name").alias("set_name"),

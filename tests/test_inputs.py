@@ -64,6 +64,11 @@ def test_corrections(spark, tmp_path):
         b.variant("001-owl-b-p", "Owl", life=20, cost=1), b.variant("002-owl-b-p", "Owl", set_name="Second", life=20, cost=1),
         b.variant("001-cat-b-p", "Cat"), b.variant("001-dog-b-p", "Dog", cost=7)])
     corrections = feed.read_corrections(spark, str(file))
+    (file.parent / "many").mkdir()
+    for name in ("a.json", "b.json"):
+        (file.parent / "many" / name).write_text(file.read_text())
+    with pytest.raises(ValueError, match="one file"):
+        feed.read_corrections(spark, str(file.parent / "many"))
     assert b.rows(c.unmatched_corrections(entities, variants, corrections), "reason") == [("no set",), ("nobody",)]
     entities, variants = c.apply_corrections(entities, variants, corrections)
     assert b.rows(entities, "name", "life", "cost", "rarity") == [
