@@ -10,7 +10,7 @@ import xxhash
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from everkey.llm import components, lines, matroska, mixing, neighbours, simhash
+from everkey.llm import components, copies, lines, matroska, mixing, neighbours, simhash
 
 EXTRA = ", size long, _id long, gone long, _row int, _place long"
 
@@ -145,6 +145,56 @@ def test_near_duplicates(spark):
     assert simhash.near_duplicates(docs(spark, [])).count() == 0
 
 
+# ---- near copies
+
+
+def plain_shingles(text):
+    words = (text or "").lower().split()
+    return {" ".join(words[i: i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def brute_kept(rows):
+    """(id, text) of the smallest row of each component of five-word Jaccard 0.8 or more."""
+    rows = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0))
+    own, root = [plain_shingles(t) for _, t in rows], list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if 5 * len(own[i] & own[j]) >= 4 * len(own[i] | own[j]):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return sorted((rows[i] for i in range(len(rows)) if root[i] == i), key=str)
+
+
+def edited(rng, text, n):
+    words = text.split()
+    for at in rng.sample(range(len(words)), n):
+        words[at] = "z" + words[at]
+    return " ".join(words)
+
+
+def test_near_copies_of_five_words_and_four_fifths(spark):
+    rng = random.Random(21)
+    rows, far = [(None, "without id here now then"), (None, None), (900, " "), (901, "")], 0
+    for k in range(30):
+        base = words_of(rng, 200)
+        near, other = edited(rng, base, 1 + k % 4), edited(rng, base, 12)
+        far += bin(simhash.fingerprint(base) ^ simhash.fingerprint(near)).count("1") > simhash.DISTANCE
+        rows += [(10 * k + 3, near), (10 * k + 1, base), (10 * k + 2, other), (10 * k + 5, edited(rng, near, 3))]
+    assert far > 10  # the old settings would keep these
+    hub = words_of(rng, 300)
+    rows += [(1000 + k, edited(rng, hub, 6)) for k in range(40)] + [(1100, hub)]
+    got = copies.one_of_each(docs(spark, [(*r, "s") for r in rows]))
+    assert got.columns == docs(spark, []).columns
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == brute_kept(rows)
+    assert copies.one_of_each(docs(spark, [])).count() == 0
+
+
 # ---- lines
 
 
