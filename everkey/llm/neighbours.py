@@ -3,14 +3,14 @@
 Equal vectors are one class with its smallest ids.  The trees are fitted on a bounded sample: a node splits its points
 half way between two of them.  Every class is then sent down every tree, and each leaf of each tree is a cell of the
 index.  A query walks all trees at once with one priority queue, always from the node for which it has crossed the least
-(the sum of squared distances to the splits it is on the wrong side of), until the leaves it has reached hold ``REACH``
-classes.  Queries and classes meet by cell; distances are exact, in
+(the sum of squared distances to the splits it is on the wrong side of), until it has been in every tree and the leaves it
+has reached hold ``SHARE`` of as many classes as there are, and ``REACH`` at least.  Queries and classes meet by cell; distances are exact, in
 double precision, and a query's best from all cells are merged.
 
 The forest is what executors are sent: ``TREES * SAMPLE / SMALL`` nodes at most.  A cell with many rows is dealt into
-several, so a group stays within memory.  Each query looks at about ``REACH`` classes at any size, as long as leaves hold no
-more than that; beyond (``SAMPLE / SMALL * REACH`` vectors) a leaf is read whole, so work per query then grows with it.
-Vectors without any structure need a larger share of them looked at for the same recall; see the README.
+several, so a group stays within memory.  Vectors without any structure need the same share of them looked at for the same
+recall at any size, so work per query grows with the table.  A leaf is then a share of the table as well, and a query comes
+to the same number of leaves at any size; more leaves would only mean more probes.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,8 @@ NEAREST = 10
 TREES = 16
 #: Vectors the trees are fitted on; a node with at most ``SMALL`` of them is a leaf.
 SAMPLE, SMALL = 1 << 15, 128
-#: Classes in the leaves that a query reaches.
-REACH = 24_000
+#: Classes in the leaves that a query reaches: a share of all (a class counts in each tree), and so many at least.
+SHARE, REACH = 0.5, 24_000
 #: Rows of a cell that meet in one group.
 CELL = 1 << 15
 SEED = 11
@@ -102,11 +103,17 @@ def leaves_of(tree: Tree, vectors: np.ndarray) -> np.ndarray:
         at[open_] = np.where(margin > 0, tree.right[node], tree.left[node])
 
 
+def needed(classes: int) -> int:
+    """Classes that a query has to reach among so many."""
+    return max(REACH, ceil(SHARE * classes))
+
+
 def reached(forest: list[Tree], held: list[np.ndarray], query: np.ndarray, reach: int) -> list[tuple[int, int]]:
     """(tree, leaf) pairs in the order in which one queue over all trees comes to them."""
     queue = [(0.0, t, 0) for t in range(len(forest))]
     out, got = [], 0
-    while queue and got < reach:
+    # Nothing is crossed on the way to a tree's first leaf: each tree is entered, whatever the reach.
+    while queue and (got < reach or queue[0][0] == 0.0):
         crossed, t, node = heapq.heappop(queue)
         tree = forest[t]
         while tree.left[node] >= 0:
@@ -144,13 +151,13 @@ def classes(rows: DataFrame, keep: int) -> DataFrame:
     return few.groupBy("_vector").agg(F.array_sort(F.collect_set("_id")).alias("_members")).select(F.element_at("_members", 1).alias("_class"), "_members", "_vector")
 
 
-def search(vectors: DataFrame, wanted: Column, nearest: int = NEAREST, reach: int = REACH, trees: int = TREES, sample: int = SAMPLE, small: int = SMALL,
+def search(vectors: DataFrame, wanted: Column, nearest: int = NEAREST, reach: int | None = None, trees: int = TREES, sample: int = SAMPLE, small: int = SMALL,
            cell: int = CELL, id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row that ``wanted`` picks its nearest other rows, by Euclidean distance.
 
     Ties go to the smaller id; a query finds fewer only if there are fewer.  Vectors that are null, zero, of an odd length or
     hold null or non-finite components take no part, nor do rows without id.  Equal rows count once, and rows that share
-    the query's id are the query's own.  An empty table gives no rows; other columns are not touched.
+    the query's id are the query's own.  Without ``reach`` it is what the number of classes calls for.  An empty table gives no rows; other columns are not touched.
     """
     spark = vectors.sparkSession
     ship(spark)
@@ -186,6 +193,7 @@ def search(vectors: DataFrame, wanted: Column, nearest: int = NEAREST, reach: in
     for c in counted:
         held[c["tree"]][c["leaf"]] = c["n"]
     known = spark.sparkContext.broadcast(held)
+    reach = needed(int(held[0].sum()) if held else 0) if reach is None else reach
     probe_schema = pa.schema([("tree", pa.int32()), ("leaf", pa.int32()), ("part", pa.int32()), ("_query", pa.int64()), ("_own", listed)])
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -397,3 +397,14 @@ def test_neighbour_recall(spark):
     want = brute_nearest(rows, lambda q: q % 100 == 0, 10)
     hits = {(r["query_id"], r["vec_id"]) for r in got} & {(q, i) for q, _, i, _ in want}
     assert len(hits) >= 0.9 * len(want)
+
+
+def test_reach_grows_with_the_table_and_enters_every_tree():
+    assert [neighbours.needed(n) for n in (0, 30_000, 51_282, 3_000_000)] == [24_000, 24_000, 25_641, 1_500_000]
+    points = np.random.default_rng(14).standard_normal((2000, 16))
+    forest = neighbours.plant(points, 16, 32)
+    held = [np.bincount(neighbours.leaves_of(t, points), minlength=int((t.left < 0).sum())) for t in forest]
+    assert {t for t, _ in neighbours.reached(forest, held, points[0], 1)} == set(range(16))
+    reach = int(neighbours.SHARE * len(points))
+    found = neighbours.reached(forest, held, points[0], reach)
+    assert sum(held[t][leaf] for t, leaf in found) >= reach
