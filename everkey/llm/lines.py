@@ -6,7 +6,8 @@ if they share a block of that length.  Every document that holds a run is paired
 passage in k documents makes k - 1 pairs, not k * k.  Each pair is aligned by patience diff over the line hashes: lines
 that stand once in either document and in both, the longest increasing sequence among them, and the same again between
 those.  Aligned blocks with enough words go from the later document; the alignment is repeated on what is left until it
-finds nothing, so that blocks in another order are found too.  All alignments look at the whole original documents, and
+finds nothing.  Lines of shared runs that no alignment took, such as a block that short common lines elsewhere outvote,
+are found by comparing all runs of both documents, and go as well.  All alignments look at the whole original documents, and
 the first holder of a run keeps it: no passage is lost from all documents.
 """
 
@@ -40,18 +41,22 @@ def line_hashes(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return np.array(hashes, dtype="<u8").view("<i8"), np.array([len(w) for w in rows], dtype=np.int32)
 
 
-def run_hashes(hashes: np.ndarray, words: np.ndarray, least: int) -> np.ndarray:
-    """Hashes of the shortest runs with ``least`` words that begin or end at each line.  Blank lines are passed over."""
-    full = np.flatnonzero(hashes != BLANK)
-    own, total = hashes[full], np.concatenate(([0], np.cumsum(words[full], dtype=np.int64)))
-    n = len(own)
+def shortest_runs(words: np.ndarray, least: int) -> set[tuple[int, int]]:
+    """(first, end) of the shortest runs with ``least`` words that begin or end at each line."""
+    total = np.concatenate(([0], np.cumsum(words, dtype=np.int64)))
+    n = len(words)
     begins = np.arange(n)
     ends = np.searchsorted(total, total[:-1] + least)
     runs = {(int(a), int(b)) for a, b in zip(begins[ends <= n], ends[ends <= n])}
     starts = np.searchsorted(total, total[1:] - least, side="right") - 1
-    runs |= {(int(a), int(b) + 1) for a, b in zip(starts[starts >= 0], begins[starts >= 0])}
-    data = own.tobytes()
-    return np.array(sorted({xxhash.xxh64_intdigest(data[8 * a: 8 * b]) for a, b in runs}), dtype="<u8").view("<i8")
+    return runs | {(int(a), int(b) + 1) for a, b in zip(starts[starts >= 0], begins[starts >= 0])}
+
+
+def run_hashes(hashes: np.ndarray, words: np.ndarray, least: int) -> np.ndarray:
+    """Hashes of the shortest runs with ``least`` words that begin or end at each line.  Blank lines are passed over."""
+    full = np.flatnonzero(hashes != BLANK)
+    data = hashes[full].tobytes()
+    return np.array(sorted({xxhash.xxh64_intdigest(data[8 * a: 8 * b]) for a, b in shortest_runs(words[full], least)}), dtype="<u8").view("<i8")
 
 
 # ---- two documents
@@ -128,6 +133,29 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def in_shared_runs(a: list, b: list, words: list[int], least: int) -> list[bool]:
+    """Which lines of ``b`` lie in a run of at least ``least`` words that ``a`` holds too.  A ``None`` is in no run.
+
+    Any shared run is made of shortest ones, those that begin and those that end at each of its lines.
+    """
+    words_of = {line: n for line, n in zip(b, words) if line is not None}
+
+    def runs(own: list) -> list[tuple[int, int, tuple]]:
+        full, out = np.array([x is not None for x in own], dtype=bool), []
+        edges = np.flatnonzero(np.diff(np.concatenate(([0], full.astype(np.int8), [0])))).tolist()
+        for low, high in zip(edges[::2], edges[1::2]):
+            some = shortest_runs(np.array([words_of[x] for x in own[low:high]], dtype=np.int64), least)
+            out += [(low + x, low + y, tuple(own[low + x: low + y])) for x, y in some]
+        return out
+
+    held, shared = {lines for _, _, lines in runs(a)}, np.zeros(len(b) + 1, np.int64)
+    for x, y, lines in runs(b):
+        if lines in held:
+            shared[x] += 1
+            shared[y] -= 1
+    return (np.cumsum(shared)[:-1] > 0).tolist()
+
+
 def common_blocks(earlier: np.ndarray, later: np.ndarray, words: np.ndarray, least: int) -> list[tuple[int, int]]:
     """Stretches (first, end) of lines of ``later`` that stand in ``earlier`` as blocks of at least ``least`` words.
 
@@ -140,6 +168,7 @@ def common_blocks(earlier: np.ndarray, later: np.ndarray, words: np.ndarray, lea
     b = [h if h in held else None for h in b]
     wanted = set(b)
     a = [h if h in wanted else None for h in a]
+    shared = in_shared_runs(a, b, words[mine].tolist(), least)
     found: list[tuple[int, int]] = []
     while True:
         aligned, more, at = patience(a, b), [], 0
@@ -152,10 +181,14 @@ def common_blocks(earlier: np.ndarray, later: np.ndarray, words: np.ndarray, lea
                 more.append((first, past))
             at = end
         if not more:
-            return [(mine[x], mine[y - 1] + 1) for x, y in sorted(found)]
+            break
         for x, y in more:
             b[x:y] = [None] * (y - x)
+            shared[x:y] = [False] * (y - x)
         found += more
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], np.array(shared, dtype=np.int8), [0])))).tolist()
+    found += zip(edges[::2], edges[1::2])
+    return [(mine[x], mine[y - 1] + 1) for x, y in sorted(found)]
 
 
 # ---- all documents

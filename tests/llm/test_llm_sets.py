@@ -265,6 +265,24 @@ def test_line_dedup_repeats_and_ids(spark):
     assert lines.deduplicated(docs(spark, [])).count() == 0
 
 
+def test_line_dedup_of_a_passage_that_short_common_lines_outvote(spark):
+    rng = random.Random(22)
+    passage, s1, s2, s3, x, y, z = words_of(rng, 60), *(words_of(rng, n) for n in (3, 4, 5, 6, 7, 8))
+    texts = ["\n".join([passage, s1, s2, s3]), "\n".join([s1, x, s2, y, s3, z, passage])]
+    got = {r["doc_id"]: r["text"] for r in lines.deduplicated(docs(spark, [(i, t, "s") for i, t in enumerate(texts)])).collect()}
+    assert got == {0: texts[0], 1: "\n".join([s1, x, s2, y, s3, z])}
+
+
+def test_common_blocks_are_all_shared_runs():
+    rng = random.Random(23)
+    pool = [words_of(rng, rng.choice([1, 3, 8, 20, 60])) for _ in range(12)]
+    for _ in range(400):
+        texts = ["\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 25))) for _ in range(2)]
+        (earlier, _), (later, words) = map(lines.line_hashes, texts)
+        got = {i for x, y in lines.common_blocks(earlier, later, words, 50) for i in range(x, y)}
+        assert got == brute_deleted(texts, 50)[1]
+
+
 # ---- mixing
 
 
