@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..catalog import Catalog
-from . import licenses, lines, matroska, mixing, neighbours, pii, sentences, simhash, sql, toxicity, urls
+from . import licenses, lines, matroska, mixing, neighbours, pii, sentences, simhash, sql, toxicity, trie, urls
 
 catalog = Catalog()
 
@@ -66,3 +66,8 @@ def op9_url_filter(spark, sf_dir):
 @catalog.add("op10_licenses", sql.LICENSES)
 def op10_licenses(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@catalog.add("op11_trie")
+def op11_trie(spark, sf_dir):
+    return trie.trie(table(spark, sf_dir, "conversations"))
