@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..catalog import Catalog
-from . import licenses, lines, matroska, mixing, neighbours, pii, sentences, simhash, sql, toxicity, trie, urls
+from . import licenses, lines, matroska, mixing, neighbours, pii, repair, secretscan, sentences, simhash, sql, toxicity, trie, urls
 
 catalog = Catalog()
 
@@ -71,3 +71,13 @@ def op10_licenses(spark, sf_dir):
 @catalog.add("op11_trie")
 def op11_trie(spark, sf_dir):
     return trie.trie(table(spark, sf_dir, "conversations"))
+
+
+@catalog.add("op12_secrets")
+def op12_secrets(spark, sf_dir):
+    return secretscan.scan(table(spark, sf_dir, "documents"))
+
+
+@catalog.add("op13_repair")
+def op13_repair(spark, sf_dir):
+    return repair.repair(table(spark, sf_dir, "conversations"))

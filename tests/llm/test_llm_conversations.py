@@ -1,17 +1,18 @@
 """Operators on conversations, against brute force."""
 
 import hashlib
-import itertools
 import math
 import random
 import re
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from everkey.llm import tour, trie
+from everkey.llm import auction, repair, tour, trie
 
 SCHEMA = "conv_id long, turn long, role string, text string, _conv long, depth int, _part int, _size int"
 
@@ -92,3 +93,124 @@ def test_rank_of_a_list_in_any_order(spark, shape):
     got = {r["_arc"]: (r["w"], r["one"]) for r in tour.rank(arcs, ["w", "one"], 100).collect()}
     sums = np.cumsum([0] + [weight[a] for a in order])
     assert got == {a: (sums[i], i) for i, a in enumerate(order)}
+
+
+# ---- repair
+
+
+def plain_edits(turns):
+    """(cost, letters) of the cheapest edits by trying all, never more than three insertions in a row."""
+    after = {"": "u", "s": "u", "u": "a", "a": "u"}
+
+    @lru_cache(None)
+    def best(i, state, left):
+        ways = []
+        if i == len(turns):
+            if state in ("", "a"):
+                ways.append((0, ""))
+        else:
+            initial, goes, cut = turns[i]
+            rest = best(i + 1, state, 3)
+            ways.append((2 + rest[0], "D" + rest[1]))
+            for to in ([] if goes else ["s", "u", "a"]):
+                if to == after[state] or (to == "s" and state == ""):
+                    rest = best(i + 1, to, 3)
+                    ways += [(cost + 5 * cut + rest[0], letter + rest[1]) for letter, cost, fits in (("K", 0, initial == to), ("R", 1, to != "s")) if fits]
+        if left:
+            rest = best(i, after[state], left - 1)
+            ways.append((5 + rest[0], "I" + rest[1]))
+        return min(ways, default=(math.inf, ""))
+
+    return best(0, "", 3)
+
+
+def plain_repair(rows):
+    out = {}
+    for conv in {r[0] for r in rows}:
+        held = []
+        for c, turn, role, text in rows:
+            if c != conv:
+                continue
+            blank = lambda v: " " if v is None else v
+            fault = zlib.crc32(f"{blank(c)}:{blank(turn)}".encode()) % 20
+            role, text = blank(role), blank(text)
+            text = "" if fault == 1 else re.sub("[.!?]", "", text) if fault == 2 else text
+            row = (turn is not None, turn or 0, "user" if fault == 4 else role, text)
+            held += [] if fault == 0 else [row] * (2 if fault == 3 else 1)
+        held.sort()
+        turns = [r[1] for r in held if r[0]]
+        counts, judged, seen = [0, 0, 0], [], set()
+        for _, _, role, text in held:
+            bare = text.strip(" \t\n\x0b\x0c\r")
+            k = 0 if not bare else 1 if (role, text) in seen else 2 if bare[-1] not in ".!?" else None
+            seen.add((role, text))
+            if k is not None:
+                counts[k] += 1
+            judged.append((role[:1], k in (0, 1), k == 2))
+        illegal = sum(a[0] + b[0] not in ("su", "ua", "au") for a, b in zip(judged, judged[1:]))
+        cost, letters = plain_edits(tuple(judged))
+        fixed, i, state = [], 0, ""
+        for letter in letters:
+            want = "a" if state == "u" else "u"
+            name = {"u": "user", "a": "assistant"}[want]
+            if letter == "I":
+                fixed.append(name + ":")
+            elif letter == "K":
+                fixed.append(held[i][2] + ":" + held[i][3])
+                want = held[i][2][0]
+            elif letter == "R":
+                fixed.append(name + ":" + held[i][3])
+            i += letter != "I"
+            state = state if letter == "D" else want
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        out[conv] = (gaps, *counts, illegal, cost, letters, hashlib.sha256("\n".join(fixed).encode()).hexdigest())
+    return out
+
+
+def compare_repair(spark, rows, **options):
+    got = repair.repair(conversations(spark, rows), **options).collect()
+    names = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+    assert {r["conv_id"]: tuple(r[n] for n in names) for r in got} == plain_repair(rows)
+    assert len(got) == len({r[0] for r in rows})
+
+
+turn_kinds = st.tuples(st.sampled_from("suax "), st.booleans(), st.booleans()).map(lambda t: (t[0].strip(), t[1], t[2] and not t[1]))
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(turn_kinds, max_size=12))
+def test_auction_against_all_edits(turns):
+    lattice = auction.Lattice(turns, auction.WHOLE)
+    assert (lattice.settle(auction.NEW), lattice.trace(auction.NEW)[0]) == plain_edits(tuple(turns))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(turn_kinds, min_size=1, max_size=12), st.integers(1, 4))
+def test_stretches_give_the_same_edits(turns, width):
+    parts = [turns[i: i + width] for i in range(0, len(turns), width)]
+    ends = auction.Chain([auction.transitions(p) for p in parts]).costs_after()
+    state, letters, costs = auction.NEW, "", []
+    for part, end in zip(parts, ends):
+        lattice = auction.Lattice(part, end)
+        costs.append(lattice.settle(state))
+        some, state = lattice.trace(state)
+        letters += some
+    assert (costs[0], letters) == plain_edits(tuple(turns))
+
+
+@pytest.mark.parametrize("stretch", [repair.STRETCH, 3])
+def test_repair_against_brute_force(spark, stretch):
+    rng = random.Random(stretch)
+    texts = ["a.", "b!", "cut", "", " \t", None, "é?\n", "a.", "two words."]
+    roles = ["user", "assistant", "system", None, "", "tool"]
+    rows = [(c, rng.choice([t, t, t, None, t + 3]), rng.choice(roles[: rng.choice([2, 3, 6])]), rng.choice(texts)) for c in range(40) for t in range(rng.randrange(1, 9))]
+    rows += [(50, t, ["user", "assistant"][t % 2], f"turn {t}{'.' if t % 7 else ''}") for t in range(300)]
+    rows += [(51, t, "user", f"again {t}.") for t in range(60)] + [(52, 1, "user", "same.")] * 40 + [(None, 1, "user", "a."), (None, None, None, None), (53, 0, "user", "long " * 20_000)]
+    alone = next(c for c in range(100, 1000) if zlib.crc32(f"{c}:0".encode()) % 20 == 0)
+    rows.append((alone, 0, "user", "dropped."))
+    compare_repair(spark, rows, stretch=stretch)
+    assert plain_repair(rows)[alone] == (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+
+
+def test_repair_of_nothing(spark):
+    assert repair.repair(conversations(spark, [])).count() == 0
