@@ -11,10 +11,11 @@ from ..session import written
 PART, AT = "_part", "_at"
 
 
-def in_order(rows: DataFrame, order: list[Column], keep: list[str], label: str, parts: int | None = None) -> DataFrame:
+def in_order(rows: DataFrame, order: list[Column], keep: list, label: str, parts: int | None = None) -> DataFrame:
     """``keep`` of every row with ``_part`` and ``_at``, written: the rows range-partitioned and sorted by ``order``.
 
-    Columns that are only needed for the order are not written.
+    What is only needed for the order is not written; expressions in ``keep`` are worked out after the rows are in order,
+    and not for the sample that finds the ranges.
     """
     spread = rows.repartitionByRange(parts, *order) if parts else rows.repartitionByRange(*order)
     numbered = spread.sortWithinPartitions(*order).select(*keep, F.spark_partition_id().alias(PART), F.monotonically_increasing_id().alias(AT))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.joins import grouped
 from ..session import written
 from . import auction
-from .batches import batch
+from .batches import PIECE, batch, groups
 from .placing import in_order, with_places
 from .shipping import ship
 
@@ -64,21 +64,26 @@ def judged(rows: DataFrame, stretch: int) -> DataFrame:
                                 blank.alias("_blank"), again.alias("_again"), cut.alias("_cut")), "repair-judged")
 
 
-def _turns(table: pa.Table) -> tuple[list[tuple[str, str]], list[tuple[str, bool, bool]]]:
-    rows = sorted(zip(*(table[c].to_pylist() for c in ("_place", "_role", "_text", "_blank", "_again", "_cut"))), key=lambda r: r[0])
-    return [(r[1], r[2]) for r in rows], [(r[1][:1], r[3] or r[4], r[5]) for r in rows]
+def _in_stretches(rows: DataFrame) -> DataFrame:
+    """The turns of each stretch one after the other, in order, in one task."""
+    return rows.repartition(*KEY, "_stretch").sortWithinPartitions(*KEY, "_stretch", "_place")
+
+
+def _edited(row: tuple) -> tuple[str, bool, bool]:
+    """Initial, must go and cut off, of ``_role, _blank, _again, _cut``."""
+    role, blank, again, cut = row
+    return role[:1], blank or again, cut
 
 
 def costs(rows: DataFrame) -> DataFrame:
     """``_stretch, _costs``: the sixteen costs of each stretch."""
     schema = pa.schema([("_none", pa.bool_()), ("_conv", pa.int64()), ("_stretch", pa.int64()), ("_costs", pa.list_(pa.int64()))])
 
-    def run(table: pa.Table) -> pa.Table:
-        turns = _turns(table)[1]
-        flat = [c for row in auction.transitions(turns) for c in row]
-        return pa.Table.from_batches([batch(schema, *[[table[k][0].as_py()] for k in (*KEY, "_stretch")], [flat])])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, turns in groups(batches, 3):
+            yield batch(schema, *[[k] for k in key], [[c for row in auction.transitions([_edited(t) for t in turns]) for c in row]])
 
-    return rows.groupBy(*KEY, "_stretch").applyInArrow(run, "_none boolean, _conv long, _stretch long, _costs array<long>")
+    return _in_stretches(rows).select(*KEY, "_stretch", "_role", "_blank", "_again", "_cut").mapInArrow(run, "_none boolean, _conv long, _stretch long, _costs array<long>")
 
 
 def after(stretches: DataFrame) -> DataFrame:
@@ -103,27 +108,31 @@ def traced(rows: DataFrame) -> DataFrame:
     types = [pa.bool_(), *[pa.int64()] * 9, *[pa.string()] * 4, pa.bool_()]
     schema = pa.schema(list(zip(names, types)))
 
-    def run(table: pa.Table) -> pa.Table:
-        turns, judged_ = _turns(table)
-        ends = table["_ends"][0].as_py()
-        initials = [r[:1] for r, _ in turns]
-        counts = [sum(table[c].to_pylist()) for c in ("_blank", "_again", "_cut")]
-        illegal = sum(a + b not in LEGAL for a, b in zip(initials, initials[1:]))
-        out: list[list] = [[] for _ in names]
+    def solved(key: tuple, rows: list[tuple]) -> Iterator[list]:
+        turns, told, ends = [r[:2] for r in rows], [_edited((r[0], *r[2:5])) for r in rows], rows[0][5]
+        counts = [sum(r[c] for r in rows) for c in (2, 3, 4)]
+        illegal = sum(a[0] + b[0] not in LEGAL for a, b in zip(told, told[1:]))
         for state in range(auction.STATES) if ends else [auction.NEW]:
-            lattice = auction.Lattice(judged_, tuple(ends) if ends else auction.WHOLE)
+            lattice = auction.Lattice(told, tuple(ends) if ends else auction.WHOLE)
             if state not in lattice.open or lattice.settle(state) == auction.INF:
                 continue
             letters, to = lattice.trace(state)
             fixed = auction.repaired(turns, letters, state)
-            values = [*[table[k][0].as_py() for k in (*KEY, "_stretch")], state, to, *counts, illegal, int(lattice.price[state]), initials[0], initials[-1], letters,
-                      "\n".join(f"{role}:{text}" for role, text in fixed), bool(fixed)]
-            for column, value in zip(out, values):
-                column.append(value)
-        return pa.Table.from_batches([batch(schema, *out)])
+            yield [*key, state, to, *counts, illegal, int(lattice.price[state]), told[0][0], told[-1][0], letters, "\n".join(f"{role}:{text}" for role, text in fixed), bool(fixed)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[list] = []
+        for key, rows in groups(batches, 3):
+            out += solved(key, rows)
+            if len(out) >= PIECE:
+                yield batch(schema, *zip(*out))
+                out = []
+        if out:
+            yield batch(schema, *zip(*out))
 
     kinds = ["boolean", *["long"] * 9, *["string"] * 4, "boolean"]
-    return rows.groupBy(*KEY, "_stretch").applyInArrow(run, ", ".join(f"{n} {k}" for n, k in zip(names, kinds)))
+    ordered = _in_stretches(rows).select(*KEY, "_stretch", "_role", "_text", "_blank", "_again", "_cut", "_ends")
+    return ordered.mapInArrow(run, ", ".join(f"{n} {k}" for n, k in zip(names, kinds)))
 
 
 def strung(stretches: DataFrame) -> DataFrame:

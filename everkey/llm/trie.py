@@ -38,9 +38,9 @@ def turns(conversations: DataFrame) -> DataFrame:
     rows = conversations.where("conv_id is not null").select(
         F.col("conv_id").cast("long").alias("_conv"), F.col("turn").alias("_turn"), F.coalesce("role", F.lit("")).alias("_role"), F.coalesce("text", F.lit("")).alias("_text"))
     order = [F.col("_conv").asc(), F.col("_turn").asc_nulls_first(), F.col("_role").asc(), F.col("_text").asc()]
-    framed = rows.withColumn("_digest", F.md5(F.concat(F.length("_role").cast("string"), F.lit(":"), "_role", "_text"))) \
-        .withColumn("_words", F.regexp_count("_text", F.lit(WORD)).cast("long"))
-    return written(with_places(in_order(framed, order, ["_conv", "_digest", "_words"], "trie-turns"), ["_conv"]), "trie-placed")
+    digest = F.md5(F.concat(F.length("_role").cast("string"), F.lit(":"), "_role", "_text")).alias("_digest")
+    words = F.regexp_count("_text", F.lit(WORD)).cast("long").alias("_words")
+    return written(with_places(in_order(rows, order, ["_conv", digest, words], "trie-turns"), ["_conv"]), "trie-placed")
 
 
 def rebuilt(own: DataFrame) -> tuple[DataFrame, DataFrame]:
