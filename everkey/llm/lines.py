@@ -3,12 +3,11 @@
 A line is told by its hash.  For every line the shortest run of lines that begins, or ends, there and has at least
 ``MIN_WORDS`` words is hashed as well: runs are rare where single lines are not, and two documents share a run exactly
 if they share a block of that length.  Every document that holds a run is paired with the first that holds it, so a
-passage in k documents makes k - 1 pairs, not k * k.  Each pair is aligned by patience diff over the line hashes: lines
-that stand once in either document and in both, the longest increasing sequence among them, and the same again between
-those.  Aligned blocks with enough words go from the later document; the alignment is repeated on what is left until it
-finds nothing.  Lines of shared runs that no alignment took, such as a block that short common lines elsewhere outvote,
-are found by comparing all runs of both documents, and go as well.  All alignments look at the whole original documents, and
-the first holder of a run keeps it: no passage is lost from all documents.
+passage in k documents makes k - 1 pairs, not k * k.  Each pair is aligned by patience diff over the hashes of the lines in
+runs that both hold, so that short common lines elsewhere can't outvote a block: lines that stand once in either document
+and in both, the longest increasing sequence among them, and the same again between those.  What is aligned goes from the
+later document, and the alignment is repeated on what is left of the shared runs until nothing is.  All alignments look at
+the whole original documents, and the first holder of a run keeps it: no passage is lost from all documents.
 """
 
 from __future__ import annotations
@@ -157,38 +156,31 @@ def in_shared_runs(a: list, b: list, words: list[int], least: int) -> list[bool]
 
 
 def common_blocks(earlier: np.ndarray, later: np.ndarray, words: np.ndarray, least: int) -> list[tuple[int, int]]:
-    """Stretches (first, end) of lines of ``later`` that stand in ``earlier`` as blocks of at least ``least`` words.
+    """Stretches (first, end) of lines of ``later`` that stand in ``earlier`` in blocks of at least ``least`` words.
 
-    Places count lines with words only; blank lines neither break nor make a block.
+    Only lines in runs that both documents hold can be anchors.  What patience diff aligns among those goes and is taken
+    out, and the rest is aligned again, until no line of a shared run is left.  Blank lines neither break nor make a block.
     """
     mine = [i for i, h in enumerate(later.tolist()) if h != BLANK]
-    a = [h for h in earlier.tolist() if h != BLANK]
     b: list = [int(later[i]) for i in mine]
+    size_of = dict(zip(b, words[mine].tolist()))
+    a: list = [h if h in size_of else None for h in earlier.tolist() if h != BLANK]
     held = set(a)
     b = [h if h in held else None for h in b]
-    wanted = set(b)
-    a = [h if h in wanted else None for h in a]
-    shared = in_shared_runs(a, b, words[mine].tolist(), least)
-    found: list[tuple[int, int]] = []
-    while True:
-        aligned, more, at = patience(a, b), [], 0
-        while at < len(aligned):
-            end = at + 1
-            while end < len(aligned) and aligned[end] == (aligned[end - 1][0] + 1, aligned[end - 1][1] + 1):
-                end += 1
-            first, past = aligned[at][1], aligned[end - 1][1] + 1
-            if int(words[mine[first: past]].sum()) >= least:
-                more.append((first, past))
-            at = end
-        if not more:
+    sizes = lambda lines: [size_of.get(h, 0) for h in lines]
+    anchors = [h for h, shared in zip(a, in_shared_runs(b, a, sizes(a), least)) if shared]
+    left = [j for j, shared in enumerate(in_shared_runs(a, b, sizes(b), least)) if shared]
+    gone = np.zeros(len(b) + 2, dtype=np.int8)
+    while left:
+        aligned = {j for _, j in patience(anchors, [b[j] for j in left])}
+        if not aligned:
             break
-        for x, y in more:
-            b[x:y] = [None] * (y - x)
-            shared[x:y] = [False] * (y - x)
-        found += more
-    edges = np.flatnonzero(np.diff(np.concatenate(([0], np.array(shared, dtype=np.int8), [0])))).tolist()
-    found += zip(edges[::2], edges[1::2])
-    return [(mine[x], mine[y - 1] + 1) for x, y in sorted(found)]
+        gone[[left[j] + 1 for j in aligned]] = 1
+        left = [j for k, j in enumerate(left) if k not in aligned]
+        wanted = {b[j] for j in left}
+        anchors = [h for h in anchors if h in wanted]
+    edges = np.flatnonzero(np.diff(gone)).tolist()
+    return [(mine[x], mine[y - 1] + 1) for x, y in zip(edges[::2], edges[1::2])]
 
 
 # ---- all documents
