@@ -141,35 +141,58 @@ def read_size(data: bytes, at: int, limit: int) -> tuple[int, int, bool]:
     return value, at + width, value == (1 << 7 * width) - 1
 
 
-def elements(data: bytes, at: int, limit: int, inside: int = 0) -> Iterator[tuple[int, int, int]]:
-    """(id, begin of body, end of body) of each element.
+def head(data: bytes, at: int, limit: int) -> tuple[int, int, int | None]:
+    """Id, begin of body and length of the element at ``at``; the length is None if it is unknown."""
+    if not data[at]:
+        raise Damaged(f"no element at {at}")
+    width = 9 - data[at].bit_length()
+    if width > 4 or at + width > limit:
+        raise Damaged(f"no element id at {at}")
+    id = int.from_bytes(data[at: at + width], "big")
+    length, body, unknown = read_size(data, at + width, limit)
+    if unknown and id not in (SEGMENT, CLUSTER):
+        raise Damaged(f"element at {at} has no size")
+    return id, body, None if unknown else length
+
+
+def closes(inside: int, id: int) -> bool:
+    """Whether an element can't be inside a parent of unknown size, whose end it marks."""
+    return inside == CLUSTER and id in TOP or inside == SEGMENT and id in (EBML, SEGMENT)
+
+
+def end_of(data: bytes, at: int, limit: int, inside: int) -> int:
+    """Where a parent of unknown size ends: its children are passed over one by one."""
+    while at < limit:
+        id, body, length = head(data, at, limit)
+        if closes(inside, id):
+            return at
+        at = end_of(data, body, limit, id) if length is None else body + length
+        if at > limit:
+            raise Damaged(f"element before {at} is cut off")
+    return at
 
-    One of unknown size ends where an element begins that can't be inside it.  ``inside``: id of the parent, if its own
-    size is unknown; then an element of a level above ends the walk.
+
+def elements(data: bytes, at: int, limit: int, inside: int = 0) -> Iterator[tuple[int, int, int, int]]:
+    """(id, begin of body, end of body, id again if the size is unknown, else 0) of each element.
+
+    One of unknown size is given with the end of its parent, before its own is looked for, so that what stands before any
+    damage inside is read; walking its children with ``inside`` finds the end.  Of a segment or cluster that is cut off,
+    the part at hand is given.
     """
     while at < limit:
-        if not data[at]:
-            raise Damaged(f"no element at {at}")
-        width = 9 - data[at].bit_length()
-        if width > 4 or at + width > limit:
-            raise Damaged(f"no element id at {at}")
-        id = int.from_bytes(data[at: at + width], "big")
-        if inside == CLUSTER and id in TOP or inside == SEGMENT and id in (EBML, SEGMENT):
+        id, body, length = head(data, at, limit)
+        if closes(inside, id):
             return
-        length, body, unknown = read_size(data, at + width, limit)
-        if unknown:
-            if id not in (SEGMENT, CLUSTER):
-                raise Damaged(f"element at {at} has no size")
-            end = body
-            for _, _, end in elements(data, body, limit, id):
-                pass
-        else:
-            end = body + length
-            if end > limit:
-                if id in (SEGMENT, CLUSTER):
-                    yield id, body, limit
-                raise Damaged(f"element at {at} is cut off")
-        yield id, body, end
+        if length is None:
+            yield id, body, limit, id
+            at = end_of(data, body, limit, id)
+            continue
+        end = body + length
+        if end > limit:
+            if id in (SEGMENT, CLUSTER):
+                yield id, body, limit, 0
+            raise Damaged(f"element at {at} is cut off")
+        yield id, body, end, 0
         at = end
 
 
@@ -224,45 +247,45 @@ def parse(data: bytes) -> Parsed:
     """Packets, tracks and cues of a file, in file order.  Elements it does not know are passed over."""
     out = Parsed()
     try:
-        for id, at, end in elements(data, 0, len(data)):
+        for id, at, end, open_ in elements(data, 0, len(data)):
             if id == SEGMENT:
-                _segment(out, data, at, end)
+                _segment(out, data, at, end, open_)
     except Damaged as error:
         out.damage = str(error)
     return out
 
 
-def _segment(out: Parsed, data: bytes, start: int, limit: int) -> None:
-    for id, at, end in elements(data, start, limit):
+def _segment(out: Parsed, data: bytes, start: int, limit: int, inside: int) -> None:
+    for id, at, end, open_ in elements(data, start, limit, inside):
         if id == INFO:
-            for i, a, b in elements(data, at, end):
+            for i, a, b, _ in elements(data, at, end):
                 if i == TIMESTAMP_SCALE:
                     out.scale = whole(data, a, b)
         elif id == TRACKS:
-            for i, a, b in elements(data, at, end):
+            for i, a, b, _ in elements(data, at, end):
                 if i == TRACK_ENTRY:
-                    own = {j: data[x:y] for j, x, y in elements(data, a, b)}
+                    own = {j: data[x:y] for j, x, y, _ in elements(data, a, b)}
                     out.tracks.append((int.from_bytes(own.get(TRACK_NUMBER, b""), "big"), own.get(CODEC, b"").decode("ascii", "replace")))
         elif id == CUES:
-            for i, a, b in elements(data, at, end):
+            for i, a, b, _ in elements(data, at, end):
                 if i == CUE_POINT:
-                    time = next((whole(data, x, y) for j, x, y in elements(data, a, b) if j == CUE_TIME), 0)
-                    for j, x, y in elements(data, a, b):
+                    time = next((whole(data, x, y) for j, x, y, _ in elements(data, a, b) if j == CUE_TIME), 0)
+                    for j, x, y, _ in elements(data, a, b):
                         if j == CUE_PLACES:
-                            own = {k: whole(data, p, q) for k, p, q in elements(data, x, y)}
+                            own = {k: whole(data, p, q) for k, p, q, _ in elements(data, x, y)}
                             out.cues.append((time, own.get(CUE_TRACK, 0), start + own.get(CUE_CLUSTER, 0)))
         elif id == CLUSTER:
             out.clusters += 1
             base = 0
-            for i, a, b in elements(data, at, end):
+            for i, a, b, _ in elements(data, at, end, open_):
                 if i == TIMESTAMP:
                     base = whole(data, a, b)
                 elif i == SIMPLE_BLOCK:
                     read_block(out, data, a, b, base, at, None)
                 elif i == BLOCK_GROUP:
                     inner = list(elements(data, a, b))
-                    key = all(j != REFERENCE for j, _, _ in inner)
-                    for j, x, y in inner:
+                    key = all(j != REFERENCE for j, *_ in inner)
+                    for j, x, y, _ in inner:
                         if j == BLOCK:
                             read_block(out, data, x, y, base, at, key)
 
@@ -271,7 +294,11 @@ def _segment(out: Parsed, data: bytes, start: int, limit: int) -> None:
 
 
 def stored(documents: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """``doc_id, n_bytes, media``: each whole text as a Matroska file; null texts count as empty."""
+    """``doc_id, n_bytes, media``: each whole text as a Matroska file.
+
+    Null texts count as empty; repeated rows are stored one by one, an empty table gives no rows, other columns are not
+    touched.
+    """
     ship(documents.sparkSession)
     schema = pa.schema([("_id", pa.int64()), ("n_bytes", pa.int64()), ("media", pa.binary())])
 
@@ -317,7 +344,11 @@ def features(payload: bytes, found: Parsed) -> str:
 
 def read_back(files: DataFrame, id: str = "doc_id") -> DataFrame:
     """``doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature, damage`` from files
-    as :func:`stored` gives them: the payload is put together from the packets' byte ranges."""
+    as :func:`stored` gives them: the payload is put together from the packets' byte ranges.
+
+    A null file is an empty one, without payload; of a damaged file the packets before the damage are read.  Repeated rows
+    are read one by one, an empty table gives no rows, other columns are not touched.
+    """
     ship(files.sparkSession)
     schema = pa.schema([("_id", pa.int64()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()),
                         ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string()), ("damage", pa.string())])
@@ -326,6 +357,7 @@ def read_back(files: DataFrame, id: str = "doc_id") -> DataFrame:
         for piece in pieces(batches, 64):
             rows = []
             for file_id, n, data in zip(*(c.to_pylist() for c in piece.columns)):
+                data = data or b""
                 found = parse(data)
                 payload = b"".join(data[p.start: p.end] for p in found.packets if p.track == TRACK)
                 rows.append((file_id, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(data), hashlib.sha256(data).hexdigest(), features(payload, found), found.damage))
