@@ -42,7 +42,8 @@ def measured(documents: DataFrame, seed: str = SEED, text: str = "text", keep: l
     return documents.select(
         F.col("doc_id").alias("_id"), F.col("source").alias("_source"),
         F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("_size"),
-        seeded(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).alias("_hash"),
+        # By id and text, so that rows without id, or with one id, are dealt evenly as well.
+        seeded(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce(F.col(text), F.lit(""))).alias("_hash"),
         F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_tie"), *carried,
     )
 
@@ -146,7 +147,7 @@ def plan(documents: DataFrame, seed: str = SEED, block_words: int = BLOCK_WORDS)
 def mix(documents: DataFrame, seed: str = SEED, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` for each row.
 
-    Null texts have no words and take none; a null source is a source of its own, the last; a null id is hashed as such.
+    Null texts have no words and take none; a null source is a source of its own, the last; a null id is hashed as such, with the text.
     Repeated rows are documents of their own.  No document gives more than three times its words.  Results depend on
     the rows and the seed alone.  An empty table gives no rows; other columns are not touched.
     """

@@ -32,7 +32,7 @@ FROM parts LEFT JOIN best USING (n)
 MIX = f"""
 WITH RECURSIVE sizes AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
-         md5('{mixing.SEED}|' || coalesce(doc_id::VARCHAR, 'null')) AS h
+         md5('{mixing.SEED}|' || coalesce(doc_id::VARCHAR, 'null') || '|' || coalesce(text, '')) AS h
   FROM documents
 ),
 weighed AS (

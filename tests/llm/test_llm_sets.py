@@ -273,6 +273,24 @@ def test_line_dedup_of_a_passage_that_short_common_lines_outvote(spark):
     assert got == {0: texts[0], 1: "\n".join([s1, x, s2, y, s3, z])}
 
 
+def test_blocks_come_from_the_alignment(monkeypatch):
+    passage = list(range(1, 31))
+    earlier, later = np.array([90, *passage, 91]), np.array([92, 93, *passage])
+    words = np.full(len(later), 2, dtype=np.int32)
+    assert lines.common_blocks(earlier, later, words, 50) == [(2, 32)]
+    with monkeypatch.context() as patched:
+        patched.setattr(lines, "patience", lambda a, b: [])
+        assert lines.common_blocks(earlier, later, words, 50) == []
+    with monkeypatch.context() as patched:
+        # What one alignment leaves, the next takes.
+        whole = lines.patience
+        patched.setattr(lines, "patience", lambda a, b: whole(a, b)[:7])
+        assert lines.common_blocks(earlier, later, words, 50) == [(2, 32)]
+    # A block that stands twice in the later document goes twice.
+    twice = np.array([*passage, 95, *passage])
+    assert lines.common_blocks(earlier, twice, np.full(61, 2, dtype=np.int32), 50) == [(0, 30), (31, 61)]
+
+
 def test_common_blocks_are_all_shared_runs():
     rng = random.Random(23)
     pool = [words_of(rng, rng.choice([1, 3, 8, 20, 60])) for _ in range(12)]
@@ -316,6 +334,13 @@ def test_mix_small(spark):
     assert out == want
 
 
+def test_shards_are_even_without_ids(spark):
+    rows = docs(spark, [(None if i % 3 else i, f"word {i}", "s") for i in range(40_000)])
+    sizes, targets, _ = mixing.plan(rows)
+    counts = [r["count"] for r in mixing.in_shards(sizes, targets).groupBy("_shard").count().collect()]
+    assert len(counts) == 5 and max(counts) < 1.1 * min(counts)
+
+
 def test_mix_of_nothing(spark):
     assert mixing.mix(docs(spark, [])).count() == 0
     assert [r["taken"] for r in mixing.mix(docs(spark, [(1, None, None), (2, " ", "a")])).collect()] == [0, 0]
@@ -350,9 +375,34 @@ def test_matroska_lacing_groups_and_unknown_sizes():
     assert found.damage is None and found.clusters == 2
     assert [(p.track, p.timestamp, p.key, data[p.start: p.end]) for p in found.packets] == (
         [(1, 1005, False, f) for f in frames] + [(1, 998, False, f) for f in frames] + [(200, 2000, True, b"xx"), (200, 2000, True, b"yy")])
+    # A cut-off file gives the packets of all blocks before the cut, whether sizes are known or not.
+    ends = [end for block, more in ((found.packets[:4], 0), (found.packets[4:8], len(m.element(m.REFERENCE, b"\x01"))), (found.packets[8:], 0)) for end in [block[-1].end + more] * len(block)]
     for cut in range(len(data)):
         part = m.parse(data[:cut])
-        assert [(p.start, p.end) for p in part.packets] == [(p.start, p.end) for p in found.packets][: len(part.packets)]
+        assert [(p.start, p.end) for p in part.packets] == [(p.start, p.end) for p, end in zip(found.packets, ends) if end <= cut]
+
+
+def test_matroska_live_files_keep_what_stands_before_the_cut():
+    whole = matroska.mux(bytes(200_000))
+    # The same file with a segment and clusters of unknown size.
+    live = bytearray(whole)
+
+    def forget_size(at):
+        width = 9 - live[at].bit_length()
+        live[at: at + width] = bytes([(1 << 9 - width) - 1]) + b"\xff" * (width - 1)
+        return at + width
+
+    segment = forget_size(live.index(bytes.fromhex("18538067")) + 4)
+    for id, body, end, _ in matroska.elements(whole, segment, len(whole)):
+        if id == matroska.CLUSTER:
+            forget_size(whole.rindex(bytes.fromhex("1F43B675"), 0, body) + 4)
+    every = matroska.parse(whole).packets
+    assert matroska.parse(bytes(live)).packets == every and len(every) == -(-200_000 // 512)
+    for cut in (segment + 1, 70_000, 150_000, 150_300, len(whole) - 1):
+        want = matroska.parse(whole[:cut]).packets
+        assert matroska.parse(bytes(live[:cut])).packets == want
+        # Every block of which the cut has left all frames.
+        assert {p.end for p in want} <= {p.end for p in every if p.end <= cut} and len(want) >= sum(p.end <= cut for p in every) - 8
 
 
 def test_matroska_tables(spark):
@@ -367,6 +417,8 @@ def test_matroska_tables(spark):
         assert r["damage"] is None
     table = matroska.packets(matroska.stored(rows).where("doc_id = 3")).orderBy("packet").collect()
     assert len(table) == -(-200_000 // 512) and table[0]["timestamp"] == 0 and table[-1]["timestamp"] > 20 * 10**9
+    null = matroska.read_back(spark.createDataFrame([(1, 5, None)] * 2, "doc_id long, n_bytes long, media binary")).collect()
+    assert [(r["payload_bytes"], r["media_bytes"], r["damage"]) for r in null] == [(0, 0, None)] * 2
     empty = spark.createDataFrame([(1, None), (2, b"junk")], "doc_id long, media binary")
     assert [(r["packet"], r["damage"] is None) for r in matroska.packets(empty).orderBy("doc_id").collect()] == [(None, True), (None, False)]
     assert matroska.read_back(matroska.stored(docs(spark, []))).count() == 0
