@@ -15,8 +15,8 @@ INT_FIELDS = STAT_FIELDS + THRESHOLD_FIELDS
 ENTITY_FIELDS = ["name", "type", "rarity", "subtypes", "elements", *INT_FIELDS, "rules_text"]
 
 VARIANT_FIELDS = [
-    "slug", "set_name", "set_number", "released_at", "product", "finish",
-    "artist", "flavour_text", "type_text", "type", "rarity", "rules_text",
+    "set_name", "released_at", "set_number", "product", "finish", "slug",
+    "artist", "flavour_text", "type_text", "rarity", "type", "rules_text",
     *INT_FIELDS, "image_hash",
 ]
 
