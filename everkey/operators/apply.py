@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -103,15 +104,34 @@ def next_counters(counters: DataFrame, new_entities: DataFrame, new_variants: Da
         "name", (F.col("value") + F.coalesce("used", F.lit(0))).alias("value"))
 
 
-def apply_plan(state: State, entity_plan: ed.EntityPlan, variant_plan: vd.VariantPlan, as_of: str) -> State:
-    """The next state.  Nothing is published here; see ``plans.sync``."""
+def changed_ids(entity_plan: ed.EntityPlan, variant_plan: vd.VariantPlan, new_entities: DataFrame,
+                new_variants: DataFrame) -> dict[str, DataFrame]:
+    """By table, the ids whose rows are other than before."""
+    added, fresh = new_entities.select("entity_id"), new_variants.select("variant_id")
+    return {
+        "entities": ed.changed_entities(entity_plan).select("entity_id").union(added),
+        "variants": vd.changed_variants(variant_plan).select("variant_id").union(vd.retirements(variant_plan).select("variant_id"))
+                    .union(vd.unretirements(variant_plan).select("variant_id")).union(fresh),
+        "key_history": vd.variant_renames(variant_plan).select("variant_id").union(fresh),
+        "name_history": ed.entity_renames(entity_plan).select("entity_id").union(added),
+    }
+
+
+def apply_plan(state: State, entity_plan: ed.EntityPlan, variant_plan: vd.VariantPlan, as_of: str,
+               narrowed: Callable[[dict[str, DataFrame]], State] | None = None) -> State:
+    """The next state.  Nothing is published here; see ``plans.sync``.
+
+    ``narrowed`` is given the ids that change, by table, and may return a part of the state with all of their rows (of
+    history, all open ones): the result is then the next state of that part.
+    """
     new_entities = allocate_entities(state, entity_plan)
     new_variants = allocate_variants(state, variant_plan)
-    entities = next_entities(state, entity_plan, new_entities)
+    part = narrowed(changed_ids(entity_plan, variant_plan, new_entities, new_variants)) if narrowed else state
     return State(
-        entities=entities,
-        variants=next_variants(state, variant_plan, entities, new_variants, as_of),
-        key_history=next_key_history(state, variant_plan, new_variants, as_of),
-        name_history=next_name_history(state, entity_plan, new_entities, as_of),
+        entities=next_entities(part, entity_plan, new_entities),
+        # New variants may belong to an entity of any part.
+        variants=next_variants(part, variant_plan, next_entities(state, entity_plan, new_entities), new_variants, as_of),
+        key_history=next_key_history(part, variant_plan, new_variants, as_of),
+        name_history=next_name_history(part, entity_plan, new_entities, as_of),
         counters=next_counters(state.counters, new_entities, new_variants),
     )

@@ -29,7 +29,7 @@ def read_payload_document(spark: SparkSession, path: str) -> DataFrame:
 
 
 def keep_raw(spark: SparkSession, source: str, kept: str) -> DataFrame:
-    """Copy the payload before it is used, so every later step reads the same bytes."""
+    """Copy the payload line by line before it is parsed, so that a fault of the parser can be looked into later."""
     spark.read.text(source).write.text(kept)
     return read_payload(spark, kept)
 

@@ -1,3 +1,5 @@
+import pathlib
+
 from everkey.plans.sync import populate, sync, validate
 from everkey.sources import store
 import pytest
@@ -72,7 +74,7 @@ def test_a_run_refuses_what_is_not_sound(spark, tmp_path, monkeypatch):
 
     root = str(tmp_path / "registry")
     populate(spark, root, first(spark), b.DAY0, source="test")
-    assert spark.read.parquet(f"{root}/v=1/payload").count() == 2
+    assert spark.read.parquet(f"{store.folder_of(spark, root, 1)}/payload").count() == 2
     for entry in (first(spark).withColumn("entity_pos", F.lit(1).cast("bigint")), first(spark).withColumn("entity_pos", F.lit(None).cast("bigint"))):
         with pytest.raises(FatalInput, match="ordinal"):
             sync(spark, root, entry, b.DAY1)
@@ -99,8 +101,71 @@ def test_a_run_refuses_what_is_not_sound(spark, tmp_path, monkeypatch):
         m.setattr(store, "read_state", lambda *a: type(real_read(*a))(**{**real_read(*a).tables(), "counters": counters}))
         with pytest.raises(FatalInput, match="not sound"):
             sync(spark, root, more, b.DAY1)
-    with pytest.raises(ValueError, match="another run"):
-        store.commit(spark, root, 1, b.DAY1)
+
+
+def files_of(root):
+    return {str(f.relative_to(root)): f.read_bytes() for f in pathlib.Path(root).rglob("*") if f.is_file()}
+
+
+def test_of_two_runs_from_one_base_the_first_wins(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "registry")
+    one = lambda name: b.payload(spark, [b.entry(name, [b.card_set("First", b.piece(f"001-{name.lower()}-b-p"))])])
+    for base in range(2):
+        # The second run commits while the first is about to.
+        commit, seen = store.commit, {}
+        with monkeypatch.context() as m:
+            def late(*args):
+                m.setattr(store, "commit", commit)
+                changed = first(spark) if not base else b.payload(spark, [
+                    b.entry("Owl", [b.card_set("First", b.piece("001-owl-b-p", artist="New"), b.piece("001-owl-b-f", finish="Foil"))]),
+                    b.entry("Cat", [b.card_set("First", b.piece("001-cat-b-p"))])])
+                assert sync(spark, root, changed, b.DAY1).version == base + 1
+                seen.update(files_of(root))
+                commit(*args)
+
+            m.setattr(store, "commit", late)
+            with pytest.raises(ValueError, match="another run"):
+                sync(spark, root, one("Dog") if not base else b.payload(spark, [
+                    b.entry("Owl", [b.card_set("First", b.piece("001-owl-b-p", artist="Old"), b.piece("001-owl-b-f", finish="Foil"))]),
+                    b.entry("Cat", [b.card_set("First", b.piece("001-cat-b-p"))])]), b.DAY1)
+        assert store.current_version(spark, root) == base + 1
+        assert b.rows(store.read_state(spark, root, base + 1).entities, "name") == [("Cat",), ("Owl",)]
+        # Nothing of the winner's files has changed.
+        now = files_of(root)
+        assert all(now[name] == data for name, data in seen.items())
+    assert b.rows(store.read_state(spark, root, 2).variants.where("slug = '001-owl-b-p'"), "artist") == [("New",)]
+    assert b.rows(validate(spark, root, against=1)) == []
+    # A commit whose writer died is no version, and its number is not used again.
+    (tmp_path / "registry" / "commits" / "3").write_text("")
+    assert store.current_version(spark, root) == 2 and store.next_version(spark, root) == 4
+    assert not store.create(spark, f"{root}/commits/3", "x")
+
+
+def test_only_buckets_with_a_change_are_written(spark, tmp_path):
+    root = str(tmp_path / "registry")
+    pieces = lambda moved: b.payload(spark, [b.entry("Owl", [b.card_set("First", *[b.piece(f"001-owl{i}-b-p" if i != moved else f"101-owl{i}-b-p", finish=f"F{i}") for i in range(40)])])])
+    populate(spark, root, pieces(None), b.DAY0, buckets=8)
+    before = store.commits(spark, root)[1]
+    run = sync(spark, root, pieces(7), b.DAY1, buckets=99)
+    assert ("variant renames", 1) in b.rows(run.counts, "class", "changes")
+    after = store.commits(spark, root)[2]
+    id = store.read_state(spark, root, 2).variants.where("slug = '101-owl7-b-p'").first()["variant_id"]
+    hit = {str(n) for n in store.buckets_of(spark.createDataFrame([(id,)], "variant_id long"), "variant_id", 8)}
+    assert after.buckets == before.buckets == 8 and len(before.parts["variants"]) > 4
+    for table in ("variants", "key_history"):
+        assert {n for n, folder in after.parts[table].items() if folder == after.folder} == hit
+        assert {n: f for n, f in after.parts[table].items() if n not in hit} == {n: f for n, f in before.parts[table].items() if n not in hit}
+    assert (after.parts["entities"], after.parts["name_history"]) == (before.parts["entities"], before.parts["name_history"])
+    written = {name.split("/")[2] for name in files_of(root) if name.startswith(after.folder + "/") and name.endswith(".parquet")}
+    assert "entities" not in written and "name_history_closed" not in written
+    # Closed history is added to, never written again.
+    assert (before.closed["key_history"], after.closed["key_history"]) == ([], [after.folder])
+    sync(spark, root, pieces(8), b.DAY2)
+    last = store.commits(spark, root)[3]
+    assert last.closed["key_history"] == [after.folder, last.folder]
+    history = b.rows(store.read_state(spark, root, 3).key_history.where(f"variant_id = {id}"), "slug", "valid_from", "valid_to")
+    assert history == [("001-owl7-b-p", b.DAY0, b.DAY1), ("001-owl7-b-p", b.DAY2, None), ("101-owl7-b-p", b.DAY1, b.DAY2)]
+    assert b.rows(validate(spark, root, against=2)) == []
 
 
 def test_stale_cases_go(spark, tmp_path):
