@@ -60,6 +60,27 @@ def test_lookups(spark):
     assert b.rows(q.coverage(needs, owned, s.variants)) == [("a", 2, 2, True), ("b", 1, 0, False)]
 
 
+def test_search_batch_equals_single_searches(spark):
+    """Every mix of filters, null, empty, unknown and repeated ones among them, against a search for each."""
+    s = small(spark)
+    mixes = [(n, c, p, f) for n in (None, "", "O", "wl", "CAT", "owls", "zzz") for c in (None, "", "6", "\tgothic ", "odd", "99")
+             for p in (None, "", "box topper\t") for f in (None, "", "FOIL")]
+    schema = "request bigint, name string, card_set string, product string, finish string"
+    requests = spark.createDataFrame([(i, *m) for i, m in enumerate(mixes)], schema)
+    got = b.rows(q.search_variants_batch(requests, s.variants, s.entities, limit=2), "request", "total_matches", "distinct_cards", "returned", "position", "slug")
+    named = {e.entity_id: e.name for e in s.entities.collect()}
+    want, rows = [], sorted(s.variants.collect(), key=lambda v: v.variant_id)
+    for i, (n, c, p, f) in enumerate(mixes):
+        wanted = (c or "").strip().lower()
+        hit = [v for v in rows if (n or "").lower() in named[v.entity_id].lower() and (not f or (v.finish or "").lower() == f.lower())
+               and (not p or (v.product or "").strip().lower().replace(" ", "_") == p.strip().lower().replace(" ", "_"))
+               and (not c or (v.set_number == wanted.zfill(3) if wanted.isdecimal() else (v.set_name or "").lower() == wanted))]
+        totals = (i, len(hit), len({v.entity_id for v in hit}), min(len(hit), 2))
+        want += [(*totals, at + 1, v.slug) for at, v in enumerate(hit[:2])] or [(*totals, None, None)]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    assert q.search_variants_batch(requests.limit(0), s.variants, s.entities).count() == 0
+
+
 def test_marts_and_digests(spark):
     s = small(spark)
     assert [tuple(r) for r in marts.in_catalogue_order(marts.set_catalogue(s.variants)).collect()] == [
