@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from everkey.llm import copies, lines, mixing, sentences, toxicity
+from everkey.llm import copies, lines, mixing, sentences, simhash, toxicity
 from everkey.session import written
 
 
@@ -19,8 +19,9 @@ def delete_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: five-word shingles, similarity 0.8 or more."""
-    return copies.one_of_each(docs)
+    """One document of each group of near-duplicates: SimHashes within 4 bits, as in op5; of what that leaves, five-word
+    shingles with similarity 0.8 or more, most of which differ in more bits."""
+    return copies.one_of_each(written(simhash.first_rows(docs), "pipeline-simhash"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -114,12 +114,24 @@ def _texts(keyed: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     return written(sets(found.groupBy("_print").agg(F.first("text").alias("text"))), "copies-sets")
 
 
-def _keyed(documents: DataFrame) -> DataFrame:
+def keyed_rows(documents: DataFrame) -> DataFrame:
     id = F.col("doc_id").cast("long")
     return documents.select(F.struct(*[F.col(c) for c in documents.columns]).alias("_row"), id.isNull().alias("_none"), F.coalesce(id, F.lit(0)).alias("_id"),
                             F.xxhash64(F.coalesce("text", F.lit(""))).alias("_tie"))
 
 
+#: The name that tests know.
+_keyed = keyed_rows
+
+
+def stay_of(keyed: DataFrame, named: DataFrame, columns: list[str], label: str) -> DataFrame:
+    """The first row of each root in ``named`` (``_first, _root``), found again by id and hash of the text."""
+    stay = written(named.groupBy("_root").agg(F.min("_first").alias("_first")).select("_first._none", "_first._id", "_first._tie"), label)
+    kept = keyed.join(stay.hint("merge"), ["_none", "_id", "_tie"], "left_semi")
+    rows = kept.groupBy("_none", "_id", "_tie").agg(F.first("_row").alias("_row"))
+    return rows.select(*[F.col("_row")[c].alias(c) for c in columns])
+
+
 def crowded(star: DataFrame, roots: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Groups for ``crowds`` of classes ``a`` and the least ``b`` of a band they share, and where their members are.
 
@@ -171,12 +183,9 @@ def one_of_each(documents: DataFrame) -> DataFrame:
     without words are copies of each other, null and empty ones among them.  Rows with one id are told apart by their texts;
     repeated rows are one.  Texts of any length are compared whole; an empty table gives no rows; other columns stay.
     """
-    keyed = _keyed(documents)
+    keyed = keyed_rows(documents)
     every = written(sketches(keyed.select("_none", "_id", "_tie", F.col("_row.text").alias("text"))), "copies-sketches")
     classes = written(every.groupBy("_print").agg(F.min(F.struct("_none", "_id", "_tie")).alias("_first"), F.first("_size").alias("_size"), F.first("_bands").alias("_bands")), "copies-classes")
     roots = components(links(keyed, classes)[0])
     named = classes.select("_print", "_first").join(roots, F.col("_print") == F.col("node"), "left").select("_first", F.coalesce("root", "_print").alias("_root"))
-    stay = written(named.groupBy("_root").agg(F.min("_first").alias("_first")).select("_first._none", "_first._id", "_first._tie"), "copies-stay")
-    kept = keyed.join(stay.hint("merge"), ["_none", "_id", "_tie"], "left_semi")
-    rows = kept.groupBy("_none", "_id", "_tie").agg(F.first("_row").alias("_row"))
-    return rows.select(*[F.col("_row")[c].alias(c) for c in documents.columns])
+    return stay_of(keyed, named, documents.columns, "copies-stay")

@@ -30,6 +30,7 @@ from ..functions.joins import grouped
 from ..session import written
 from .batches import batch, pieces
 from .components import components
+from .copies import keyed_rows, stay_of
 from .shipping import ship
 
 DISTANCE = 4
@@ -76,6 +77,19 @@ def fingerprints(documents: DataFrame, text: str = "text", id: str = "doc_id") -
     return documents.select(F.col(id).cast("long"), F.col(text)).mapInArrow(run, "_id long, _print long")
 
 
+def keyed_fingerprints(rows: DataFrame) -> DataFrame:
+    """``_none, _id, _tie, _print`` for each row of ``copies.keyed_rows``."""
+    ship(rows.sparkSession)
+    schema = pa.schema([("_none", pa.bool_()), ("_id", pa.int64()), ("_tie", pa.int64()), ("_print", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches):
+            found = np.array([fingerprint(t) for t in piece.column(3).to_pylist()], dtype="<u8").view("<i8")
+            yield batch(schema, *piece.columns[:3], found)
+
+    return rows.select("_none", "_id", "_tie", F.col("_row.text").alias("text")).mapInArrow(run, "_none boolean, _id long, _tie long, _print long")
+
+
 # ---- where the bits go, and which thresholds they get
 
 
@@ -256,3 +270,16 @@ def one_of_each(documents: DataFrame, distance: int = DISTANCE) -> DataFrame:
     kept = named.join(groups.hint("merge"), F.col("_id") == F.col("_c"), "left_semi")
     first = Window.partitionBy("_id").orderBy("_tie")
     return kept.withColumn("_place", F.row_number().over(first)).where("_place = 1").select(*[F.col("_row")[c].alias(c) for c in columns])
+
+
+def first_rows(documents: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """The rows of ``documents`` that stay: one of each component, chosen row by row as in ``copies.one_of_each``.
+
+    Unlike :func:`one_of_each` two texts under one id are two rows, and neither is lost for the other's links.
+    """
+    keyed = keyed_rows(documents)
+    every = written(keyed_fingerprints(keyed), "simhash-keyed")
+    distinct = written(every.groupBy("_print").agg(F.min(F.struct("_none", "_id", "_tie")).alias("_first")), "simhash-first")
+    roots = components(links(distinct, distance))
+    named = distinct.join(roots, distinct["_print"] == roots["node"], "left").select("_first", F.coalesce("root", "_print").alias("_root"))
+    return stay_of(keyed, named, documents.columns, "simhash-stay")
