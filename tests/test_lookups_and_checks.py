@@ -156,3 +156,33 @@ def test_a_wanted_set_reaches_the_scan(spark, tmp_path):
     small(spark).variants.write.parquet(path)
     plan = q.matching_variants(spark.read.parquet(path), small(spark).entities, card_set=6)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(set_number,006)" in plan
+
+
+def test_search_batch_meets_only_matches(spark, monkeypatch):
+    """Searches whose texts look alike and share their sets: whatever a join brings together is a match."""
+    plans, write = [], q.written
+
+    def kept(df, label):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, label)
+
+    monkeypatch.setattr(q, "written", kept)
+    names = [f"owl 🦉 #{n}" for n in range(100, 130)] + ["owl owl", "#1", ""]
+    entities = spark.createDataFrame([(i, n) for i, n in enumerate(names)] + [(40, None)], "entity_id bigint, name string")
+    rows = [(i, i % 31, f"k{i}", None if i % 5 == 0 else f"{i % 3 + 1:03d}", "North" if i % 2 else None, "Box" if i % 4 else None, "Foil" if i % 3 else None)
+            for i in range(90)]
+    variants = spark.createDataFrame(rows, "variant_id bigint, entity_id bigint, slug string, set_number string, set_name string, product string, finish string") \
+        .withColumn("retired_at", F.lit(None).cast("string"))
+    texts = [None, "o", "OWL", "l #1", "🦉 #12", "owl owl owl"] + [f"#{n}" for n in (1, 10, 11, 12, 100, 101, 110, 119, 120)]
+    mixes = [(n, c, p, f) for n in texts for c in (None, "2", "north") for p in (None, "box", "\t") for f in (None, "foil")]
+    requests = spark.createDataFrame([(i, *m) for i, m in enumerate(mixes)], "request bigint, name string, card_set string, product string, finish string")
+    got = b.rows(q.search_variants_batch(requests, variants, entities, limit=3), "request", "total_matches", "distinct_cards", "returned", "position", "slug")
+    want = []
+    for i, (n, c, p, f) in enumerate(mixes):
+        hit = [v for v in rows if (n or "").lower() in names[v[1]] and (not c or v[3] == c.zfill(3) or (v[4] or "").lower() == c)
+               and (not p or (v[5] or "").lower() == p.strip()) and (not f or (v[6] or "").lower() == f)]
+        totals = (i, len(hit), len({v[1] for v in hit}), min(len(hit), 3))
+        want += [(*totals, at + 1, v[2]) for at, v in enumerate(hit[:3])] or [(*totals, None, None)]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    tested = [line for plan in plans for line in plan.splitlines() if "Join Inner" in line and ("Contains(" in line or " OR " in line)]
+    assert len(plans) >= 3 and not tested
