@@ -18,17 +18,19 @@ def _signature(links: DataFrame) -> tuple:
 
 
 def _large_star(links: DataFrame) -> DataFrame:
+    """One row for each link; repeats are dropped by the small-star step that follows."""
     both = links.select("a", "b").union(links.select("b", "a"))
     least = grouped(both, ["a"], F.min("b").alias("m"))
     hung = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
-    return hung.where("a <> b").distinct()
+    return hung.where("a <> b")
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = grouped(down, ["a"], F.min("b").alias("m"))
-    hung = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return hung.union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
+    # The link to the smallest neighbour stays, and hangs the node itself on it; each other one hangs that neighbour.
+    hung = down.join(least, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
+    return hung.distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -39,8 +41,9 @@ def components(links: DataFrame) -> DataFrame:
     at = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     before = _signature(at)
     while True:
-        at = written(_small_star(written(_large_star(at), "large-star")), "small-star")
-        now = _signature(at)
-        if now == before:
+        large = written(_large_star(at), "large-star")
+        # If no link moved, every link ends at a root; if no node has two, all hang where they belong.
+        if _signature(large) == before and at.groupBy("a").count().where("count > 1").isEmpty():
             return at.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        before = now
+        at = written(_small_star(large), "small-star")
+        before = _signature(at)

@@ -137,7 +137,10 @@ def linked(groups: DataFrame, place: DataFrame, held: DataFrame, checked: Callab
     def compared(pairs: DataFrame) -> None:
         nonlocal place
         pairs = written(pairs, "crowd-pairs")
-        counts[-1] += pairs.count()
+        found = pairs.count()
+        counts[-1] += found
+        if not found:
+            return
         near = written(checked(pairs, held), "crowd-near")
         if not near.isEmpty():
             links.append(near.select("a", "b"))

@@ -47,6 +47,27 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_stop_as_soon_as_all_hang_on_roots(spark, monkeypatch):
+    """Every step writes a table; none is taken that only shows that nothing changes."""
+    steps, write = [], components.written
+
+    def kept(df, label):
+        out = write(df, label)
+        steps.append((label, out.count()))
+        return out
+
+    monkeypatch.setattr(components, "written", kept)
+    stars = [(n, n % 3) for n in range(3, 60)]
+    found = components.components(spark.createDataFrame(stars + [(0, 3), (4, 4), (None, 1)], "a long, b long")).collect()
+    assert sorted(map(tuple, found)) == sorted(stars)
+    assert steps == [("links", 57), ("large-star", 57)]
+    steps.clear()
+    # Leaves of two roots: no link moves in the first step, and yet they are not done.
+    found = components.components(spark.createDataFrame([(n, r) for n in (8, 9) for r in (1, 2)], "a long, b long")).collect()
+    assert sorted(map(tuple, found)) == [(2, 1), (8, 1), (9, 1)]
+    assert [label for label, _ in steps] == ["links", "large-star", "small-star", "large-star"]
+
+
 # ---- fingerprints
 
 
