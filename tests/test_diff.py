@@ -166,3 +166,51 @@ def test_variant_decisions_must_fit(spark, lists):
     plan = ed.classify_entities(state.entities, entities)
     rows = vd.one_sided(vd.differences(state.variants, vd.entity_view(state.entities, plan), variants), plan)
     assert vd.stale_variant_decisions(rows, b.decisions(spark, **lists)).count() > 0
+
+
+def test_groups_hold_their_rows_while_they_are_few(spark):
+    """Every size of group, repeats and nulls, against plain counting."""
+    sizes = [(m, a) for m in range(5) for a in range(5) if m or a]
+    rows = []
+    for m, a in sizes:
+        for name in (f"one {m} {a}", "all"):
+            key = (name, f"set {m} {a}", None, "Foil")
+            rows += [("missing", 100 * m + 10 * a + k, f"{name} m{k}", *key) for k in range(m)]
+            rows += [("added", None, f"{name} {m} a{k // 2}", *key) for k in range(a)]      # the second twice, and so on
+    rows += [("missing", 7, None, "null", None, None, None), ("added", None, "x", None, None, None, None)]
+    df = spark.createDataFrame(rows, "side string, variant_id bigint, slug string, entity_name string, set_name string, product string, finish string")
+    found = vd._paired(df)
+
+    groups, left = {}, {}
+    for r in rows:
+        groups.setdefault(r[3:], []).append(r)
+    unique = {k for k, g in groups.items() if sorted(r[0] for r in g) == ["added", "missing"]}
+    for k, g in groups.items():
+        if k not in unique and k[0] is not None:
+            left.setdefault(k[0], set()).update(r[0] for r in g)
+    wanted = []
+    for r in rows:
+        one, case = r[3:] in unique, len(left.get(r[3], ())) == 2
+        other = next((x for x in groups[r[3:]] if x[0] != r[0]), None) if one else None
+        wanted.append((r[0], r[2], *r[3:], (r[1] or other[1]) if one else r[1], other[2] if one else None,
+                       "rename" if one else "case" if case else "retire" if r[0] == "missing" else "new",
+                       vd.PAIRED_BY if one else "no candidate" if not case and r[0] == "missing" else None,
+                       f"variant:{r[3]}" if case and not one else None))
+    columns = ["side", "slug", "entity_name", "set_name", "product", "finish", "variant_id", "partner", "outcome", "decided_by", "case_id"]
+    assert sorted(map(str, (tuple(r[c] for c in columns) for r in found.collect()))) == sorted(map(str, wanted))
+
+
+def test_variants_meet_by_key_as_few_columns(spark):
+    """What is only compared crosses the join as one text."""
+    state = b.state(spark, [b.entity("X")], [b.variant("001-x-b-p", "X", artist="Ann"), b.variant("001-y-b-p", "X")])
+    entities, variants = b.snapshot(spark, [b.entity("X")], [b.variant("001-x-b-p", "X", artist="Bob"), b.variant("001-z-b-p", "X")])
+    plan = ed.classify_entities(state.entities, entities)
+    found = vd.differences(state.variants, vd.entity_view(state.entities, plan), variants)
+    tree = found._jdf.queryExecution().optimizedPlan()
+    while "Join" not in tree.nodeName():
+        tree = tree.children().head()
+    assert tree.output().size() <= 20
+    rows = {r.slug: r for r in found.collect()}
+    assert {k: r.status for k, r in rows.items()} == {"001-x-b-p": "changed", "001-y-b-p": "missing", "001-z-b-p": "added"}
+    assert (rows["001-x-b-p"].old.artist, rows["001-x-b-p"].new.artist, rows["001-y-b-p"].new, rows["001-z-b-p"].old) == ("Ann", "Bob", None, None)
+    assert rows["001-z-b-p"].new.asDict() == variants.where("slug = '001-z-b-p'").first().asDict()

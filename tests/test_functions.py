@@ -5,7 +5,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import functions as F
 
-from everkey.functions import keys, text
+from everkey.functions import keys, records, text
 from everkey.functions.slices import SLICE, number_rows, sliced
 from everkey.operators.history import history_from_observations
 import build as b
@@ -125,3 +125,22 @@ def test_closing_matches_the_open_row_of_the_old_key(spark):
     assert b.rows(after) == sorted([
         ("a", 1, "2024-01-01", "2024-02-01"), ("a", 1, "2024-03-01", None), ("b", 1, "2024-02-01", "2024-03-01"),
         ("c", 2, "2024-01-01", None), ("d", 3, "2024-03-01", None)], key=lambda t: tuple((v is not None, str(v)) for v in t))
+
+
+def test_packed_records_lose_nothing(spark):
+    """Null, empty texts and the marks themselves come back, and equal texts mean equal records."""
+    values = [None, "", "a", "\x1f", "\x1b", "\x1b0", "\x1b1", "\x1b2", "a\x1fb", "\x1b\x1f\x1b1", "null", "\\"]
+    rows = [(a, b, n) for a in values for b in values for n in (None, -7)]
+    df = spark.createDataFrame(rows, "a string, b string, n int")
+    packed = df.select("*", records.packed(df.columns).alias("packed")).select("*", records.parts("packed").alias("parts"))
+    found = packed.select("packed", *records.unpacked("parts", df.columns, dict(df.dtypes)).values())
+    assert found.select(df.columns).dtypes == df.dtypes
+    back = [tuple(r) for r in found.collect()]
+    assert [r[1:] for r in back] == rows and len({r[0] for r in back}) == len(rows)
+
+
+def test_numbered_rows_are_widened_after_they_are_dealt_out(spark):
+    """The columns that ``widen`` adds are written, and take no part in the shuffle."""
+    names = spark.createDataFrame([(k, f"name {k}") for k in range(5)], "a bigint, name string")
+    numbered = number_rows(spark.range(5).select((4 - F.col("id")).alias("a")), ["a"], "n", widen=lambda rows: rows.join(F.broadcast(names), "a"))
+    assert sorted((r.a, r.n, r.name) for r in numbered.collect()) == [(k, k + 1, f"name {k}") for k in range(5)]
