@@ -186,3 +186,17 @@ def test_search_batch_meets_only_matches(spark, monkeypatch):
     assert sorted(map(str, got)) == sorted(map(str, want))
     tested = [line for plan in plans for line in plan.splitlines() if "Join Inner" in line and ("Contains(" in line or " OR " in line)]
     assert len(plans) >= 3 and not tested
+
+
+def test_published_rows_are_compared_by_short_digests(spark):
+    """A row of a section costs its key and 16 bytes in the shuffle, and copies still count."""
+    rows = lambda *values: spark.createDataFrame(values, "id string, text string")
+    derived = rows(("1", "a"), ("2", None), ("3", "c"), ("3", "c"))
+    found = k.check_published(rows(("1", "a"), ("2", ""), ("3", "c"), ("3", "c"), ("3", "c")), derived, "id", "x")
+    assert sorted((r.key, r.detail) for r in found.collect()) == [
+        ("2", "derived but not published"), ("2", "published but not derived"), ("3", "published but not derived")]
+    tree = found._jdf.queryExecution().analyzed()
+    while "Aggregate" not in tree.nodeName():
+        tree = tree.children().head()
+    digest = [a for a in (tree.child().output().apply(i) for i in range(tree.child().output().size())) if a.name() == "_row"][0]
+    assert digest.dataType().typeName() == "binary"
